@@ -12,9 +12,9 @@ Null keys form one group, as with ``dropDuplicates``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curate.operators.cleaning import q
@@ -31,22 +31,23 @@ def _value_order(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
 
 
 def dedupe_grouped(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
-                   sums: Mapping[str, Column] | None = None) -> DataFrame:
-    """Deduplicated rows plus ``_dup_n`` (rows folded into each kept row) and ``sums``.
+                   carry: Sequence[str] = ()) -> DataFrame:
+    """Deduplicated rows plus ``_dup_n`` (rows folded into each kept row).
 
-    ``sums`` are extra per-row expressions summed over each key group in the
-    same aggregation (used to carry row-level metrics through the shuffle).
+    ``carry`` names numeric per-row columns (e.g. metric flags) that are left
+    out of the kept row and instead summed over each key group in the same
+    aggregation -- row-level metrics survive the shuffle without a second scan.
     """
     keys = list(keys)
-    value_cols = _value_order(df, keys, order)
+    data = df.select(*[q(c) for c in df.columns if c not in carry])
+    value_cols = _value_order(data, keys, order)
     aggs = [F.count(F.lit(1)).alias(COUNT)]
     if value_cols:
         aggs.append(F.min(F.struct(*[q(c).alias(c) for c in value_cols])).alias(ROW))
-    for name, expr in (sums or {}).items():
-        aggs.append(F.sum(expr.cast("long")).alias(name))
+    aggs += [F.sum(q(c).cast("long")).alias(c) for c in carry]
     grouped = df.groupBy(*[q(k) for k in keys]).agg(*aggs)
-    out = [q(c) if c in keys else F.col(ROW)[c].alias(c) for c in df.columns]
-    return grouped.select(*out, F.col(COUNT), *[q(n) for n in (sums or {})])
+    out = [q(c) if c in keys else F.col(ROW)[c].alias(c) for c in data.columns]
+    return grouped.select(*out, F.col(COUNT), *[q(c) for c in carry])
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:

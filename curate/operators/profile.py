@@ -18,10 +18,17 @@ def ingest_metrics(df: DataFrame, corrupt_col: str = CORRUPT) -> DataFrame:
     Without a corrupt-record column the count is 0.
     """
     data_cols = [c for c in df.columns if c != corrupt_col]
-    corrupt = (F.count_if(q(corrupt_col).isNotNull()) if corrupt_col in df.columns
-               else F.lit(0).cast("long"))
-    return df.agg(F.count(F.lit(1)).alias("rows"), corrupt.alias("corrupt_rows")).select(
-        "rows", F.lit(len(data_cols)).alias("cols"), "corrupt_rows")
+    if corrupt_col not in df.columns:
+        return df.agg(F.count(F.lit(1)).alias("rows")).select(
+            "rows", F.lit(len(data_cols)).alias("cols"), F.lit(0).cast("long").alias("corrupt_rows"))
+    # File sources refuse scans that read only the corrupt-record column, so a
+    # data column is read too; the output references it so it is not pruned.
+    probe = q(data_cols[0]) if data_cols else F.lit(1)
+    agg = df.agg(F.count(F.lit(1)).alias("rows"),
+                 F.count_if(q(corrupt_col).isNotNull()).alias("_corrupt"),
+                 F.count(probe).alias("_probe"))
+    return agg.select("rows", F.lit(len(data_cols)).alias("cols"),
+                      F.when(F.col("_probe") >= 0, F.col("_corrupt")).alias("corrupt_rows"))
 
 
 def key_stats(df: DataFrame, key: str) -> DataFrame:

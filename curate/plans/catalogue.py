@@ -513,3 +513,7 @@ def summary_counts_q(spark, sf_dir):
         "demographic_groups": grouped_mean(curated, list(s.mean_by), s.mean_value,
                                            s.mean_distinct),
     })
+
+
+# File-writing entries register themselves on import.
+from curate.plans import catalogue_io  # noqa: E402,F401
