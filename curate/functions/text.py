@@ -61,7 +61,9 @@ def csv_fields(c: Column | str) -> Column:
     unquoted field becomes null as in Spark's CSV reader.
     """
     col = _as_col(c)
-    raw = F.regexp_extract_all(col, F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), 1)
+    # Every field is matched together with the comma before it (one is prepended),
+    # so no match is empty and a leading empty field is not skipped.
+    raw = F.regexp_extract_all(F.concat(F.lit(","), col), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), 1)
 
     def unquote(x: Column) -> Column:
         quoted = x.startswith('"') & x.endswith('"') & (F.length(x) >= 2)
