@@ -14,11 +14,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curate.operators.cleaning import q
 from curate.operators.metrics import counts_long
+from curate.sources.literal import literal_rows
 
 # Bound on distinct dimension ids for broadcasting (a hashed relation of a few
 # million integral keys stays well under the driver/executor broadcast limits).
@@ -65,7 +67,10 @@ def flag_fks(fact: DataFrame, fks: Sequence[tuple[str, DataFrame, str]],
 
     Returns ``(flagged, [(fk, hit_col)], {fk: valid_dim_values})``.
     """
-    id_sets = {fk: distinct_ids(dim, id_col) for fk, dim, id_col in fks}
+    # The id sets are small and used twice (size check, then the join): persist
+    # them so the dimension side is computed once.  Lost blocks are recomputed.
+    id_sets = {fk: distinct_ids(dim, id_col).persist(StorageLevel.MEMORY_AND_DISK)
+               for fk, dim, id_col in fks}
     sizes = id_set_sizes(id_sets)
     hits = []
     for i, (fk, _, _) in enumerate(fks):
@@ -95,7 +100,7 @@ def fk_check(fact: DataFrame, fks: Sequence[tuple[str, DataFrame, str]],
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, id_col: str,
             broadcast_max_ids: int = DEFAULT_BROADCAST_MAX_IDS) -> DataFrame:
     """Fact rows whose non-null ``fk`` has no match in ``dim[id_col]`` (anti join)."""
-    ids = distinct_ids(dim, id_col)
+    ids = distinct_ids(dim, id_col).persist(StorageLevel.MEMORY_AND_DISK)
     size = id_set_sizes({fk: ids})[fk]
     side = ids.select(F.col(ID).alias("_orphan_id"))
     if size <= broadcast_max_ids:
@@ -112,6 +117,6 @@ def missing_expected(spark: SparkSession, found: DataFrame, expected: Iterable[s
     is broadcast: the large ``found`` side is only semi-joined and never shuffled.
     """
     names = sorted(set(expected))
-    exp = spark.createDataFrame([(n,) for n in names], f"{name_col} string")
+    exp = literal_rows(spark, [(n,) for n in names], f"`{name_col}` string")
     hits = found.select(q(name_col)).join(F.broadcast(exp), name_col, "left_semi").distinct()
     return exp.join(hits, name_col, "left_anti").orderBy(name_col)

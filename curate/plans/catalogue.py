@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,7 +73,7 @@ def _curated(spark, sf_dir):
 
 
 def _dims(spark, sf_dir) -> dict[str, DataFrame]:
-    sections = split_sections(mapping_lines(spark, sf_dir))
+    sections = split_sections(mapping_lines(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     routed = route_sections(section_headers(sections), DIMENSIONS)
     return {d.table: section_to_dim(sections, routed, d) for d in DIMENSIONS}
 

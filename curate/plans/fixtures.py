@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curate.sources.literal import literal_rows
 from curate.sources.tables import load
 from curate.spec import ENCOUNTERS, FactSpec
 
@@ -87,7 +88,7 @@ MAPPING_FILE = "mapping.csv"
 
 def mapping_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``file, block, idx, line`` of a sectioned mapping file derived from the tables."""
-    fixed = spark.createDataFrame(_STRUCTURE, "block long, idx long, line string")
+    fixed = literal_rows(spark, _STRUCTURE, "block long, idx long, line string")
     orders = load(spark, sf_dir, "orders")
     p, st = F.col("o_orderpriority"), F.col("o_orderstatus")
     types = orders.select(p, st).distinct().select(

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,8 +101,10 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
     """Parse, validate and save every dimension section of a mapping file."""
     with log.step(STEP_DIMS) as payload:
         ensure_db(spark, cfg.database, f"{cfg.tables_dir}/{cfg.database}.db")
-        sections = split_sections(lines)
-        routed = route_sections(section_headers(sections), cfg.dims)
+        # Parsed once, reused by every dimension (lost blocks are recomputed).
+        sections = split_sections(lines).persist(StorageLevel.MEMORY_AND_DISK)
+        routed = route_sections(section_headers(sections), cfg.dims).persist(
+            StorageLevel.MEMORY_AND_DISK)
         heads = routed.select("section_no", "dim").collect()   # one small row per section
         present = {r["dim"] for r in heads}
         validation, dims = {}, {}
@@ -117,6 +120,8 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
                                    "duplicates": int(st["duplicates"])}
             dims[d.table] = saved
         payload.update(sections_parsed=len(heads), validation=validation)
+        routed.unpersist()
+        sections.unpersist()
     return dims
 
 

@@ -14,6 +14,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
+from curate.sources.literal import literal_rows
+
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
 
@@ -36,8 +38,7 @@ class StepLog:
         record = {"run_id": self.run_id, "seq": self.seq, "step": step, "status": status,
                   "timestamp_utc": utc_iso(), "payload": payload}
         line = json.dumps(record, default=_json_default)
-        (self.spark.createDataFrame([(line,)], "value string").coalesce(1)
-         .write.mode("append").text(self.log_dir))
+        literal_rows(self.spark, [(line,)], "value string").write.mode("append").text(self.log_dir)
         self.records.append(record)
         return record
 

@@ -7,12 +7,38 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Relations smaller than this are never re-split (the shuffle would cost more
+# than the parallelism gains).
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (file sizes for a plain scan)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return 0
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin repartition an under-split relation to the cluster's parallelism.
+
+    A few large unsplittable files (one parquet row group, a gzip CSV) would
+    otherwise run every per-row expression above the scan in one task.  Inputs
+    that already have at least ``defaultParallelism`` splits -- every large
+    table on a real cluster -- are returned unchanged, so no shuffle is added.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.rdd().getNumPartitions() >= target or estimated_bytes(df) < min_bytes:
+        return df
+    return df.repartition(target)
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``<sf_dir>/<name>.parquet`` as a DataFrame (filters and projections push into the scan)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table by (qualified) name."""
-    return spark.table(name)
+    return spread(spark.table(name))
