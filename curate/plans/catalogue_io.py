@@ -199,3 +199,73 @@ def quality_score_q(spark, sf_dir):
     issues = (F.col("corrupt_rows") + F.col("casting_failures") + F.col("duplicates_removed")
               + F.col("orphaned_fk_rows") + F.col("constraint_violations"))
     return report.select("input_rows", issues.alias("issues"), "quality_score_pct")
+
+
+# --------------------------------------------------------------------------
+# Archives -> bronze -> silver -> report (the whole flow)
+# --------------------------------------------------------------------------
+
+ROWS_PER_ARCHIVE = 20_000
+
+
+def _fact_zip_writer(out_dir: str, columns: list[str], member: str):
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs as pafs
+        bucket = int(pdf["_bucket"].iloc[0])
+        text = pdf[columns].to_csv(index=False, lineterminator="\n")
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("extract/", b"")
+            zf.writestr(f"extract/{member}", text.encode("utf-8"))
+            zf.writestr("extract/notes.txt", b"not an expected member")
+        _put(out_dir, f"encounters-{bucket}.zip", buf.getvalue(), pafs)
+        return pd.DataFrame({"bucket": [bucket], "rows": [len(pdf)]})
+    return write
+
+
+def _mapping_zip_writer(out_dir: str, member: str):
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs as pafs
+        pdf = pdf.sort_values(["block", "idx"])
+        text = "\r\n".join(pdf["line"].tolist()) + "\r\n"
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr(f"meta/{member}", text.encode("utf-8"))
+        _put(out_dir, "mapping.zip", buf.getvalue(), pafs)
+        return pd.DataFrame({"bucket": [-1], "rows": [len(pdf)]})
+    return write
+
+
+def _put(out_dir: str, name: str, data: bytes, pafs) -> None:
+    target = f"{out_dir}/{name}"
+    filesystem, p = pafs.FileSystem.from_uri(target if "://" in target else f"file://{target}")
+    filesystem.create_dir(p.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(p) as f:
+        f.write(data)
+
+
+def write_encounter_archives(spark: SparkSession, sf_dir: str, out_dir: str) -> int:
+    """Zip the encounter extract (<= ROWS_PER_ARCHIVE rows per archive) and the mapping file."""
+    from curate.plans.bronze import EXPECTED_FILES
+    raw = encounters_raw(spark, sf_dir)
+    n = max(1, -(-raw.count() // ROWS_PER_ARCHIVE))
+    cols = raw.columns
+    bucketed = raw.withColumn("_bucket", F.pmod(F.xxhash64(*cols), F.lit(n)))
+    fact = bucketed.groupBy("_bucket").applyInPandas(
+        _fact_zip_writer(out_dir, cols, EXPECTED_FILES[0]), "bucket long, rows long")
+    # The mapping file is one file by nature; its size is bounded by the
+    # distinct priorities/statuses/segments and the nation and region tables.
+    mapping = mapping_lines(spark, sf_dir).groupBy("file").applyInPandas(
+        _mapping_zip_writer(out_dir, EXPECTED_FILES[1]), "bucket long, rows long")
+    return fact.unionByName(mapping).count()
+
+
+@register("archive_to_silver", _REPORT_SQL)
+def archive_to_silver(spark, sf_dir):
+    from curate.plans.run import run_all
+    base = shared_dir(spark, "e2e")
+    write_encounter_archives(spark, sf_dir, f"{base}/archives")
+    raw = encounters_raw(spark, sf_dir)
+    out = run_all(spark, base, f"{base}/archives", spec=encounters_spec(raw),
+                  database=f"curate_{uuid.uuid4().hex[:10]}", pipeline_prefix="Encounters - ")
+    return out["silver"]["report"].select(*REPORT_COLUMNS)

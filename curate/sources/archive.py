@@ -27,7 +27,7 @@ def _member_type(name: str) -> str:
     return mimetypes.guess_type(name)[0] or "application/octet-stream"
 
 
-def _expander(expected: frozenset[str] | None):
+def _expander(expected: frozenset[str] | None, with_text: bool = True):
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple] = []
         for pdf in batches:
@@ -39,8 +39,11 @@ def _expander(expected: frozenset[str] | None):
                         name = info.filename.rsplit("/", 1)[-1]
                         if expected is not None and name not in expected:
                             continue
-                        with zf.open(info, "r") as raw:
-                            text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace").read()
+                        text = None
+                        if with_text:
+                            with zf.open(info, "r") as raw:
+                                text = io.TextIOWrapper(raw, encoding="utf-8",
+                                                        errors="replace").read()
                         rows.append((path, info.filename, name, info.file_size,
                                      _member_type(name), text))
                         if len(rows) >= _BATCH_ROWS:
@@ -52,14 +55,15 @@ def _expander(expected: frozenset[str] | None):
 
 
 def expand_archives(spark: SparkSession, path: str, expected: Iterable[str] | None = None,
-                    glob: str = "*.zip") -> DataFrame:
+                    glob: str = "*.zip", with_text: bool = True) -> DataFrame:
     """One row per archive member: ``path, member_path, file_name, size_bytes, type, text``.
 
     Directory entries are skipped; ``file_name`` is the text after the last
     ``/``; with ``expected`` only members of those names are kept.
-    ``size_bytes`` is the member's uncompressed size.
+    ``size_bytes`` is the member's uncompressed size.  ``with_text=False``
+    lists members without decompressing them (``text`` is null).
     """
     exp = None if expected is None else frozenset(expected)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", True).load(path).select("path", "content"))
-    return files.mapInPandas(_expander(exp), MEMBER_SCHEMA)
+    return files.mapInPandas(_expander(exp, with_text), MEMBER_SCHEMA)

@@ -65,3 +65,28 @@ def test_step_context_manager(spark, tmp_path):
             raise ValueError("boom")
     rows = sorted((r.seq, r.step, r.status) for r in read_step_log(spark, log.log_dir).collect())
     assert rows == [(1, "ok", "SUCCESS"), (2, "bad", "FAILED")]
+
+
+def test_bronze_extracts_expected_members_and_reports_missing(spark, tmp_path):
+    import io
+    import zipfile
+    from curate.plans.bronze import BronzeConfig, run_bronze
+    d = tmp_path / "zips"
+    d.mkdir()
+    for i in range(3):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as zf:
+            zf.writestr("dataset/", b"")
+            zf.writestr("dataset/diabetic_data.csv", f"encounter_id,race\n{i},x\n".encode())
+            zf.writestr("dataset/other.txt", b"skip")
+        (d / f"a{i}.zip").write_bytes(buf.getvalue())
+    cfg = BronzeConfig(base_dir=str(tmp_path / "bronze"), archive_path=str(d))
+    out = run_bronze(spark, cfg)
+    assert out["missing"] == ["IDS_mapping.csv"]
+    rep = out["report"].first()
+    assert rep.files_extracted == 3 and rep.archives_read == 3
+    assert json.loads(rep.expected_missing) == ["IDS_mapping.csv"]
+    back = spark.read.option("header", True).csv(cfg.member_dir("diabetic_data.csv"))
+    assert sorted(r.encounter_id for r in back.collect()) == ["0", "1", "2"]
+    payload = out["log"].records[-1]["payload"]
+    assert payload["exported_files_count"] == 3 and len(payload["exported_files"]) == 3
