@@ -269,3 +269,22 @@ def archive_to_silver(spark, sf_dir):
     out = run_all(spark, base, f"{base}/archives", spec=encounters_spec(raw),
                   database=f"curate_{uuid.uuid4().hex[:10]}", pipeline_prefix="Encounters - ")
     return out["silver"]["report"].select(*REPORT_COLUMNS)
+
+
+# --------------------------------------------------------------------------
+# Incremental (streaming) curation
+# --------------------------------------------------------------------------
+
+@register("stream_curated_rows", f"""{O.encounter_ctes(_SPEC, dedupe=False)}
+SELECT * FROM curated""")
+def stream_curated_rows(spark, sf_dir):
+    from curate.streaming.incremental import read_curated, start_curation
+    base = shared_dir(spark, "stream")
+    raw = encounters_raw(spark, sf_dir)
+    write_csv(raw, f"{base}/landing")
+    spec = encounters_spec(raw)
+    query, _ = start_curation(spark, f"{base}/landing", spec, f"{base}/out",
+                              f"{base}/_checkpoint", f"{base}/_logs", names=raw.columns,
+                              max_files_per_trigger=2)
+    query.awaitTermination()
+    return read_curated(spark, f"{base}/out").drop("epoch")

@@ -149,8 +149,11 @@ def rule_sql(r: Rule) -> str:
     return f"({c} IS NOT NULL AND ({bad}))"
 
 
-def encounter_ctes(spec: FactSpec) -> str:
-    """``WITH raw, nulled, typed, clean, curated0, curated`` for the restricted spec."""
+def encounter_ctes(spec: FactSpec, dedupe: bool = True) -> str:
+    """``WITH raw, nulled, typed, clean, curated0, curated`` for the restricted spec.
+
+    ``dedupe=False`` makes ``clean`` the typed rows as they are.
+    """
     nulled = ",\n  ".join(
         f"CASE WHEN trim({ident(c)}) = '?' THEN NULL ELSE {ident(c)} END AS {ident(c)}"
         for c in RAW_COLUMNS)
@@ -177,6 +180,9 @@ def encounter_ctes(spec: FactSpec) -> str:
     c1 = [ident(c) for c in spec.columns] + [ident(d.name) for d in level1]
     c1 += [f"{_derived_sql(d, ident(d.source))} AS {ident(d.name)}" for d in level2]
     final = ", ".join(ident(c) for c in spec.curated_columns())
+    dedupe_sql = (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY "
+                  f"{', '.join(keys)} ORDER BY {order}) AS _rn FROM typed) WHERE _rn = 1"
+                  if dedupe else f"SELECT {cols} FROM typed")
     return f"""WITH raw AS ({RAW_SQL}),
 nulled AS (SELECT
   {nulled}
@@ -184,9 +190,7 @@ FROM raw),
 typed AS (SELECT
   {typed}
 FROM nulled),
-clean AS (SELECT {cols} FROM (
-  SELECT *, row_number() OVER (PARTITION BY {", ".join(keys)} ORDER BY {order}) AS _rn FROM typed
-) WHERE _rn = 1),
+clean AS ({dedupe_sql}),
 curated0 AS (SELECT {", ".join(c0)} FROM clean),
 curated AS (SELECT {final} FROM (SELECT {", ".join(c1)} FROM curated0))
 """
