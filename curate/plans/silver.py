@@ -10,9 +10,9 @@ Single-pass fact curation.  Row-level metrics that precede de-duplication
 shuffle as per-key sums; null, foreign-key and rule metrics are collected by
 ``Observation``s attached *after* the last shuffle, so they are computed by
 the write job's result tasks, whose metric updates Spark applies once per
-partition even when tasks or executors are retried.  The reference flow
-runs ~119 actions over the fact; this one reads it once to write the table,
-then the summaries read the saved (columnar, pruned) table.
+partition even when tasks or executors are retried.  A flow that runs one
+action per metric needs ~119 passes over the fact; this one reads it once to
+write the table, then the summaries read the saved (columnar, pruned) table.
 """
 
 from __future__ import annotations
