@@ -107,24 +107,34 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
             StorageLevel.MEMORY_AND_DISK)
         heads = routed.select("section_no", "dim").collect()   # one small row per section
         present = {r["dim"] for r in heads}
-        validation, dims = {}, {}
+        dims = {}
         for d in cfg.dims:
             if d.table not in present:
                 continue
             name = cfg.table(d.table)
             save_table(section_to_dim(sections, routed, d), name, cfg.fmt,
                        path=f"{cfg.tables_dir}/{d.table}")
-            saved = spark.table(name)
-            st = key_stats(saved, d.id_col).first()
-            validation[d.table] = {"rows": int(st["rows"]), "distinct_ids": int(st["distinct_ids"]),
-                                   "duplicates": int(st["duplicates"])}
-            dims[d.table] = saved
+            dims[d.table] = spark.table(name)
+        validation = dim_key_stats(dims, {d.table: d.id_col for d in cfg.dims})
         payload.update(sections_parsed=len(heads), validation=validation)
         routed.unpersist()
         sections.unpersist()
     return dims
 
 
+def dim_key_stats(dims: dict[str, DataFrame], id_cols: dict[str, str]) -> dict[str, dict]:
+    """``{table: {rows, distinct_ids, duplicates}}`` for all saved dimensions in one job."""
+    if not dims:
+        return {}
+    parts = [key_stats(df, id_cols[t]).select(F.lit(t).alias("table"), "*")
+             for t, df in dims.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionAll(p)
+    return {r["table"]: {"rows": int(r["rows"]), "distinct_ids": int(r["distinct_ids"]),
+                         "duplicates": int(r["duplicates"])} for r in union.collect()}
+
+
 # --------------------------------------------------------------------------
 # PIPE2: the fact, in one pass
 # --------------------------------------------------------------------------
@@ -201,13 +211,14 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
         raise
 
     # -- one log record per logical step, from the observed metrics ----------
+    entries: list[tuple[str, str, dict]] = []
     rows_before, rows_after = _sum0(m1["rows_before"]), _sum0(m1["rows_after"])
     corrupt_rows = _sum0(m1["corrupt_rows"]) + (diverted or 0)
     input_rows = rows_before + (diverted or 0)
-    log.write(STEP_LOAD, SUCCESS, {
+    entries.append((STEP_LOAD, SUCCESS, {
         "input_csv": input_desc, "rows": input_rows, "cols": len(raw_cols),
         "corrupt_rows": corrupt_rows, "bad_records_dir": cfg.bad_records_dir,
-        "columns": raw_cols + [corrupt]})
+        "columns": raw_cols + [corrupt]}))
 
     failures = {}
     for i, (f, _) in enumerate(fails):
@@ -216,44 +227,45 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
             failures[f.name] = {"failed_rows": n, "target_type": f.dataType.simpleString(),
                                 "failure_rate_pct": pct_half_up(n, rows_before)}
     cast_total = sum(v["failed_rows"] for v in failures.values())
-    log.write(STEP_SCHEMA, SUCCESS, {
+    entries.append((STEP_SCHEMA, SUCCESS, {
         "total_rows": rows_before, "columns": len(spec.columns), "schema_exact_match": schema_exact,
         "casting_failures_total": cast_total, "casting_failures_by_column": failures,
-        "columns_with_failures": len(failures)})
+        "columns_with_failures": len(failures)}))
 
-    log.write(STEP_DUPES, SUCCESS, {"rows_before": rows_before, "rows_after": rows_after,
-                                    "duplicates_removed": rows_before - rows_after})
+    entries.append((STEP_DUPES, SUCCESS, {"rows_before": rows_before, "rows_after": rows_after,
+                                    "duplicates_removed": rows_before - rows_after}))
 
     missing = {}
     for i, c in enumerate(spec.columns):
         n = _sum0(m1[f"null{i}"])
         if n > 0:
             missing[c] = {"null_count": n, "null_pct": pct_half_up(n, rows_after)}
-    log.write(STEP_NULLS, SUCCESS, {"total_rows": rows_after, "columns_with_nulls": len(missing),
-                                    "missing_values": missing})
+    entries.append((STEP_NULLS, SUCCESS, {"total_rows": rows_after, "columns_with_nulls": len(missing),
+                                    "missing_values": missing}))
 
     fk_validation = {fk: {"valid_dim_values": sizes[fk], "orphaned_fact_rows": _sum0(m1[f"fk{i}"])}
                      for i, (fk, _) in enumerate(hits)}
-    log.write(STEP_FK, SUCCESS, {
+    entries.append((STEP_FK, SUCCESS, {
         "total_orphaned_rows": sum(v["orphaned_fact_rows"] for v in fk_validation.values()),
-        "fk_validation": fk_validation})
+        "fk_validation": fk_validation}))
 
     string_cols = [f.name for f in spec.schema.fields if isinstance(f.dataType, T.StringType)]
-    log.write(STEP_TRANSFORM, SUCCESS, {
+    entries.append((STEP_TRANSFORM, SUCCESS, {
         "rows": _sum0(m2["rows"]), "string_cols_trimmed": len(string_cols),
         "categorical_cols_standardized": len([s for s in spec.standardise if s.kind != "strip"]),
         "new_columns": [d.name for d in spec.derived],
-        "standardized_columns": [s.column for s in spec.standardise if s.kind == "strip"]})
+        "standardized_columns": [s.column for s in spec.standardise if s.kind == "strip"]}))
 
     violations = {}
     for i, r in enumerate(spec.rules):
         n = _sum0(m2[f"r{i}"])
         if r.report_zero or n > 0:
             violations[r.name] = n
-    log.write(STEP_RULES, SUCCESS, {"total_violations": sum(violations.values()),
-                                    "violations_by_constraint": violations})
+    entries.append((STEP_RULES, SUCCESS, {"total_violations": sum(violations.values()),
+                                    "violations_by_constraint": violations}))
 
-    log.write(STEP_SAVE, SUCCESS, saved_info)
+    entries.append((STEP_SAVE, SUCCESS, saved_info))
+    log.write_many(entries)
     metrics = {"input_rows": input_rows, "corrupt_rows": corrupt_rows, "rows_after": rows_after,
                "casting_failures": failures, "missing_values": missing,
                "fk_validation": fk_validation, "violations": violations, "saved": saved_info}

@@ -34,13 +34,19 @@ class StepLog:
         self.records: list[dict] = []
 
     def write(self, step: str, status: str, payload: dict) -> dict:
-        self.seq += 1
-        record = {"run_id": self.run_id, "seq": self.seq, "step": step, "status": status,
-                  "timestamp_utc": utc_iso(), "payload": payload}
-        line = json.dumps(record, default=_json_default)
-        literal_rows(self.spark, [(line,)], "value string").write.mode("append").text(self.log_dir)
-        self.records.append(record)
-        return record
+        return self.write_many([(step, status, payload)])[0]
+
+    def write_many(self, entries: list[tuple[str, str, dict]]) -> list[dict]:
+        """Append several records with one small write (one part file)."""
+        records = []
+        for step, status, payload in entries:
+            self.seq += 1
+            records.append({"run_id": self.run_id, "seq": self.seq, "step": step,
+                            "status": status, "timestamp_utc": utc_iso(), "payload": payload})
+        lines = [(json.dumps(r, default=_json_default),) for r in records]
+        literal_rows(self.spark, lines, "value string").write.mode("append").text(self.log_dir)
+        self.records.extend(records)
+        return records
 
     @contextmanager
     def step(self, name: str, **on_failure):

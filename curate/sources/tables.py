@@ -29,7 +29,7 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     table on a real cluster -- are returned unchanged, so no shuffle is added.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= target or estimated_bytes(df) < min_bytes:
+    if estimated_bytes(df) < min_bytes or df._jdf.rdd().getNumPartitions() >= target:
         return df
     return df.repartition(target)
 
