@@ -1,7 +1,7 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query runs to completion through the ``noop`` sink (full execution, no
-collect).  ``silver_run`` is the end-to-end flow -- mapping file -> three
+collect); the reported time is the median of $BENCH_REPS (default 3) runs.  ``silver_run`` is the end-to-end flow -- mapping file -> three
 dimensions, raw CSV -> curated fact in one pass, summaries, step log and
 report -- with its Spark job count.  Prints ONE JSON line.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -42,31 +43,39 @@ def main() -> None:
     for name in (only or HEADLINE):
         QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
+    reps = max(1, int(os.environ.get("BENCH_REPS", "3")))
     times: dict[str, float] = {}
     jobs: dict[str, int] = {}
+
+    def timed(name: str, run) -> object:
+        samples, result = [], None
+        for rep in range(reps):
+            group = f"bench-{name}-{rep}"
+            sc.setJobGroup(group, name)
+            t0 = time.perf_counter()
+            result = run()
+            samples.append(time.perf_counter() - t0)
+            jobs[name] = len(sc.statusTracker().getJobIdsForGroup(group))
+        times[name] = round(statistics.median(samples), 3)
+        return result
+
     for name in (only or HEADLINE):
-        sc.setJobGroup(f"bench-{name}", name)
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
-        jobs[name] = len(sc.statusTracker().getJobIdsForGroup(f"bench-{name}"))
+        timed(name, lambda: QUERIES[name](spark, sf_dir).write.format("noop")
+              .mode("overwrite").save())
 
+    input_rows = None
     if not only:
-        sc.setJobGroup("bench-silver", "silver_run")
-        t0 = time.perf_counter()
-        out = run_fixture_silver(spark, sf_dir)
-        out["report"].write.format("noop").mode("overwrite").save()
-        times["silver_run"] = round(time.perf_counter() - t0, 3)
-        jobs["silver_run"] = len(sc.statusTracker().getJobIdsForGroup("bench-silver"))
-        input_rows = out["metrics"]["input_rows"]
-    else:
-        input_rows = None
+        def silver():
+            out = run_fixture_silver(spark, sf_dir)
+            out["report"].write.format("noop").mode("overwrite").save()
+            return out
+        input_rows = timed("silver_run", silver)["metrics"]["input_rows"]
 
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "jobs": jobs, "silver_input_rows": input_rows, "sf": sf,
-        "cpus": cpus, "warm": True,
+        "cpus": cpus, "warm": True, "reps": reps, "stat": "median",
     }))
     spark.stop()
 
