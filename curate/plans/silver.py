@@ -143,6 +143,75 @@ def _sum0(v) -> int:
     return int(v or 0)
 
 
+@dataclass
+class FactPlan:
+    """The single-pass fact query and the handles needed to read its metrics."""
+
+    observed: DataFrame            # curated rows, with both observations attached
+    obs_clean: Observation
+    obs_rules: Observation
+    raw_cols: list[str]
+    fails: list
+    hits: list[tuple[str, str]]
+    sizes: dict[str, int]
+    schema_exact: bool
+    diverted: int | None
+
+
+def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
+              dims: dict[str, DataFrame], spec: FactSpec) -> FactPlan:
+    """Build (without running) the one-pass query from raw input to curated rows."""
+    corrupt = cfg.corrupt_col
+    if isinstance(source, str):
+        raw = read_permissive_csv(spark, source, corrupt_col=corrupt)
+    else:
+        raw = with_null(source, corrupt)
+    raw_cols = [c for c in raw.columns if c != corrupt]
+    diverted = None
+    if cfg.on_corrupt == "divert":
+        obs_bad = Observation("bad_records")
+        write_bad_records(raw.where(q(corrupt).isNotNull())
+                          .observe(obs_bad, F.count(F.lit(1)).alias("n")),
+                          cfg.bad_records_dir, corrupt)
+        diverted = int(obs_bad.get["n"])
+        raw = raw.where(q(corrupt).isNull())
+
+    # -- typed rows + per-row metric flags ------------------------------------
+    nulled = nullify(raw, spec.sentinel)
+    fails = cast_failure_predicates(spec.schema)
+    flag_cols = [f"_cf{i}" for i in range(len(fails))] + ["_corrupt_n"]
+    typed = nulled.select(
+        *[lenient_cast(q(f.name), f.dataType).alias(f.name) for f in spec.schema.fields],
+        *[p.cast("long").alias(f"_cf{i}") for i, (_, p) in enumerate(fails)],
+        q(corrupt).isNotNull().cast("long").alias("_corrupt_n"))
+    schema_exact = schema_matches(typed.select(*[q(c) for c in spec.columns]), spec.schema)
+
+    # -- dedupe (the only fact shuffle) carrying the flags --------------------
+    deduped = dedupe_grouped(typed, spec.key, carry=flag_cols)
+
+    # -- foreign keys: size-checked broadcast joins, same stage ---------------
+    fk_inputs = [(k.fk, dims[k.dim_table], k.dim_id) for k in spec.fks if k.dim_table in dims]
+    flagged, hits, sizes = flag_fks(deduped, fk_inputs, cfg.broadcast_max_ids)
+
+    # -- observed metrics on the clean (deduped, typed) rows ------------------
+    obs_clean = Observation("clean")
+    clean_aggs = [F.count(F.lit(1)).alias("rows_after"), F.sum(COUNT).alias("rows_before"),
+                  F.sum("_corrupt_n").alias("corrupt_rows")]
+    clean_aggs += [F.sum(f"_cf{i}").alias(f"cf{i}") for i in range(len(fails))]
+    clean_aggs += [F.count_if(q(c).isNull()).alias(f"null{i}") for i, c in enumerate(spec.columns)]
+    clean_aggs += [F.count_if(orphan_predicate(fk, hit)).alias(f"fk{i}")
+                   for i, (fk, hit) in enumerate(hits)]
+    clean = flagged.observe(obs_clean, *clean_aggs).select(*[q(c) for c in spec.columns])
+
+    # -- standardise + observed rule violations -------------------------------
+    curated = curate(clean, spec)
+    obs_rules = Observation("rules")
+    rule_aggs = [F.count_if(r.violated()).alias(f"r{i}") for i, r in enumerate(spec.rules)]
+    observed = curated.observe(obs_rules, F.count(F.lit(1)).alias("rows"), *rule_aggs)
+    return FactPlan(observed, obs_clean, obs_rules, raw_cols, fails, hits, sizes, schema_exact,
+                    diverted)
+
+
 def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
                 log: StepLog, dims: dict[str, DataFrame],
                 spec: FactSpec | None = None) -> tuple[DataFrame, dict]:
@@ -154,61 +223,18 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
     corrupt = cfg.corrupt_col
     input_desc = source if isinstance(source, str) else "<dataframe>"
     try:
-        if isinstance(source, str):
-            raw = read_permissive_csv(spark, source, corrupt_col=corrupt)
-        else:
-            raw = with_null(source, corrupt)
-        raw_cols = [c for c in raw.columns if c != corrupt]
-        diverted = None
-        if cfg.on_corrupt == "divert":
-            obs_bad = Observation("bad_records")
-            write_bad_records(raw.where(q(corrupt).isNotNull())
-                              .observe(obs_bad, F.count(F.lit(1)).alias("n")),
-                              cfg.bad_records_dir, corrupt)
-            diverted = int(obs_bad.get["n"])
-            raw = raw.where(q(corrupt).isNull())
-
-        # -- typed rows + per-row metric flags --------------------------------
-        nulled = nullify(raw, spec.sentinel)
-        fails = cast_failure_predicates(spec.schema)
-        flag_cols = [f"_cf{i}" for i in range(len(fails))] + ["_corrupt_n"]
-        typed = nulled.select(
-            *[lenient_cast(q(f.name), f.dataType).alias(f.name) for f in spec.schema.fields],
-            *[p.cast("long").alias(f"_cf{i}") for i, (_, p) in enumerate(fails)],
-            q(corrupt).isNotNull().cast("long").alias("_corrupt_n"))
-        schema_exact = schema_matches(typed.select(*[q(c) for c in spec.columns]), spec.schema)
-
-        # -- dedupe (the only fact shuffle) carrying the flags ----------------
-        deduped = dedupe_grouped(typed, spec.key, carry=flag_cols)
-
-        # -- foreign keys: size-checked broadcast joins, same stage -----------
-        fk_inputs = [(k.fk, dims[k.dim_table], k.dim_id) for k in spec.fks if k.dim_table in dims]
-        flagged, hits, sizes = flag_fks(deduped, fk_inputs, cfg.broadcast_max_ids)
-
-        # -- observed metrics on the clean (deduped, typed) rows --------------
-        obs_clean = Observation("clean")
-        clean_aggs = [F.count(F.lit(1)).alias("rows_after"), F.sum(COUNT).alias("rows_before"),
-                      F.sum("_corrupt_n").alias("corrupt_rows")]
-        clean_aggs += [F.sum(f"_cf{i}").alias(f"cf{i}") for i in range(len(fails))]
-        clean_aggs += [F.count_if(q(c).isNull()).alias(f"null{i}")
-                       for i, c in enumerate(spec.columns)]
-        clean_aggs += [F.count_if(orphan_predicate(fk, hit)).alias(f"fk{i}")
-                       for i, (fk, hit) in enumerate(hits)]
-        clean = flagged.observe(obs_clean, *clean_aggs).select(*[q(c) for c in spec.columns])
-
-        # -- standardise + observed rule violations, then write ---------------
-        curated = curate(clean, spec)
-        obs_rules = Observation("rules")
-        rule_aggs = [F.count_if(r.violated()).alias(f"r{i}") for i, r in enumerate(spec.rules)]
-        observed = curated.observe(obs_rules, F.count(F.lit(1)).alias("rows"), *rule_aggs)
+        plan = fact_plan(spark, source, cfg, dims, spec)
         table = cfg.table(spec.name)
         ensure_db(spark, cfg.database, f"{cfg.tables_dir}/{cfg.database}.db")
-        saved_info = save_table(observed, table, cfg.fmt, path=f"{cfg.tables_dir}/{spec.name}")
-        m1, m2 = obs_clean.get, obs_rules.get
+        saved_info = save_table(plan.observed, table, cfg.fmt,
+                                path=f"{cfg.tables_dir}/{spec.name}")
+        m1, m2 = plan.obs_clean.get, plan.obs_rules.get
     except Exception as e:
         log.write(STEP_LOAD, FAILED, {"input_csv": input_desc,
                                       "bad_records_dir": cfg.bad_records_dir, "error": str(e)})
         raise
+    raw_cols, fails, hits, sizes = plan.raw_cols, plan.fails, plan.hits, plan.sizes
+    schema_exact, diverted = plan.schema_exact, plan.diverted
 
     # -- one log record per logical step, from the observed metrics ----------
     entries: list[tuple[str, str, dict]] = []

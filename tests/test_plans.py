@@ -44,3 +44,26 @@ def test_scan_prunes_columns(spark):
 def test_unlabelled_documents_does_not_read_text(spark):
     plan = _plan(QUERIES["unlabelled_documents"](spark, SF_SMALL))
     assert "text:string" not in plan
+
+
+def test_single_pass_fact_plan_shape(spark, tmp_path):
+    import uuid
+    from curate.plans.catalogue_io import write_csv
+    from curate.plans.fixtures import encounters_raw, encounters_spec, mapping_lines
+    from curate.plans.silver import SilverConfig, build_dims, fact_plan
+    from curate.plans.steplog import StepLog
+    raw = encounters_raw(spark, SF_SMALL)
+    write_csv(raw, str(tmp_path / "csv"))
+    spec = encounters_spec(raw)
+    cfg = SilverConfig(base_dir=str(tmp_path / "run"), spec=spec,
+                       database=f"p_{uuid.uuid4().hex[:8]}")
+    dims = build_dims(spark, mapping_lines(spark, SF_SMALL), cfg, StepLog(spark, cfg.log_dir))
+    plan = _plan(fact_plan(spark, str(tmp_path / "csv"), cfg, dims, spec).observed)
+    fact_side = plan.split("BroadcastExchange")[0]
+    assert fact_side.count("FileScan csv") == 1                      # one read of the raw input
+    assert fact_side.count("Exchange hashpartitioning(encounter_id") == 1   # the only fact shuffle
+    assert plan.count("LeftOuter, BuildRight") == 3                  # FK lookups broadcast
+    # both metric observations sit above the shuffle (result stage)
+    assert plan.index("CollectMetrics rules") < plan.index("CollectMetrics clean") \
+        < plan.index("Exchange hashpartitioning(encounter_id")
+    assert "partial_min(struct" in plan                              # dedupe pre-aggregates
