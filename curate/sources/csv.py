@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,19 @@ def split_corrupt(df: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame,
     return df.where(c.isNull()), df.where(c.isNotNull())
 
 
+def corrupt_text(df: DataFrame, corrupt_col: str = CORRUPT) -> Column:
+    """The corrupt-record column, written so the scan also reads one data column.
+
+    File sources refuse scans whose only column is the corrupt record; the
+    always-true condition on a data column keeps that column in the scan.
+    """
+    data = [c for c in df.columns if c != corrupt_col]
+    if not data:
+        return F.col(corrupt_col)
+    probe = F.length(F.coalesce(F.col(f"`{data[0]}`").cast("string"), F.lit("")))
+    return F.when(probe >= 0, F.col(corrupt_col))
+
+
 def write_bad_records(bad: DataFrame, path: str, corrupt_col: str = CORRUPT) -> None:
     """Write the raw text of malformed rows, one per line."""
-    bad.select(F.col(corrupt_col)).write.mode("overwrite").text(path)
+    bad.select(corrupt_text(bad, corrupt_col).alias(corrupt_col)).write.mode("overwrite").text(path)

@@ -82,3 +82,37 @@ def test_key_stats(spark):
     df = spark.createDataFrame([(1,), (1,), (None,), (2,)], "id int")
     r = key_stats(df, "id").first()
     assert (r.rows, r.distinct_ids, r.duplicates) == (4, 2, 2)
+
+
+def test_fk_check_shuffle_fallback_matches_broadcast(spark):
+    from curate.plans.catalogue import _fk_inputs
+    clean, fks = _fk_inputs(spark, SF_SMALL)
+    small = sorted(map(tuple, fk_check(clean, fks).collect()))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    prev = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:                      # as if the dimensions were large
+            spark.conf.set(k, "-1")
+        big = fk_check(clean, fks, broadcast_max_ids=0)
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "LeftOuter, BuildRight" not in plan
+        assert "SortMergeJoin [admission_type_id" in plan
+        assert sorted(map(tuple, big.collect())) == small
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_spread_only_resplits_undersplit_inputs(spark, tmp_path):
+    from curate.sources.tables import spread
+    one = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    assert one._jdf.rdd().getNumPartitions() == 1
+    assert spread(one, min_bytes=0)._jdf.rdd().getNumPartitions() == \
+        spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=16)
+    assert spread(many, min_bytes=0)._jdf.rdd().getNumPartitions() == 16
+    tiny = spark.read.parquet(f"{SF_SMALL}/region.parquet")
+    assert spread(tiny)._jdf.rdd().getNumPartitions() == 1            # below the size floor

@@ -90,3 +90,19 @@ def test_bronze_extracts_expected_members_and_reports_missing(spark, tmp_path):
     assert sorted(r.encounter_id for r in back.collect()) == ["0", "1", "2"]
     payload = out["log"].records[-1]["payload"]
     assert payload["exported_files_count"] == 3 and len(payload["exported_files"]) == 3
+
+
+def test_divert_mode_writes_bad_records_and_counts_them(spark, tmp_path):
+    from curate.plans.silver import SilverConfig, curate_fact
+    from curate.spec import ENCOUNTERS
+    spec = ENCOUNTERS.restrict(["encounter_id", "race"])
+    p = tmp_path / "in.csv"
+    p.write_text("encounter_id,race\n1,a\n2,b,extra\n3,c\n4\n")
+    cfg = SilverConfig(base_dir=str(tmp_path / "run"), spec=spec, on_corrupt="divert",
+                       database=f"t_{uuid.uuid4().hex[:8]}")
+    log = StepLog(spark, cfg.log_dir)
+    fact, m = curate_fact(spark, str(p), cfg, log, {}, spec)
+    assert m["corrupt_rows"] == 2 and m["input_rows"] == 4
+    assert sorted(r.encounter_id for r in fact.collect()) == [1, 3]
+    bad = sorted(r.value for r in spark.read.text(cfg.bad_records_dir).collect())
+    assert bad == ["2,b,extra", "4"]
