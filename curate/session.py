@@ -10,7 +10,8 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app: str = "curate", driver_memory: str = "8g") -> SparkSession:
+                app: str = "curate", driver_memory: str = "8g",
+                extra: dict[str, str] | None = None) -> SparkSession:
     """A session with AQE (coalescing, skew joins) on, UI off and UTC time."""
     cpus = os.environ.get("BENCH_CPUS") or "8"
     builder = (SparkSession.builder
@@ -24,6 +25,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", driver_memory))
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
