@@ -147,7 +147,7 @@ REPORT_COLUMNS = ("pipeline", "layer", "total_steps", "step_count", "success_ste
                   "orphaned_fk_rows", "constraint_violations", "output_rows", "quality_score_pct")
 
 
-def _report_oracle() -> str:
+def _report_oracle(pipeline: str = "Encounters - Silver Layer ETL", steps: int = 10) -> str:
     ints = [f for f in _SPEC.schema.fields if O.sql_type(f.dataType) in ("INTEGER", "BIGINT")]
     cast_fail = " + ".join(
         f"count_if({_ID(f.name)} IS NOT NULL AND {O.lenient_cast_sql(_ID(f.name), f.dataType)} IS NULL)"
@@ -168,9 +168,9 @@ m AS (SELECT
    FROM clean) AS orphaned_fk_rows,
   (SELECT {rules} FROM curated) AS constraint_violations,
   (SELECT count(*) FROM curated) AS output_rows)
-SELECT 'Encounters - Silver Layer ETL' AS pipeline, 'SILVER' AS layer,
-       CAST(10 AS BIGINT) AS total_steps, CAST(10 AS BIGINT) AS step_count,
-       CAST(10 AS BIGINT) AS success_steps,
+SELECT {O.lit(pipeline)} AS pipeline, 'SILVER' AS layer,
+       CAST({steps} AS BIGINT) AS total_steps, CAST({steps} AS BIGINT) AS step_count,
+       CAST({steps} AS BIGINT) AS success_steps,
        CAST(input_rows AS BIGINT) AS input_rows, CAST(corrupt_rows AS BIGINT) AS corrupt_rows,
        CAST(casting_failures AS BIGINT) AS casting_failures,
        CAST(duplicates_removed AS BIGINT) AS duplicates_removed,
@@ -288,3 +288,61 @@ def stream_curated_rows(spark, sf_dir):
                               max_files_per_trigger=2)
     query.awaitTermination()
     return read_curated(spark, f"{base}/out").drop("epoch")
+
+
+# --------------------------------------------------------------------------
+# Report from in-plan metric frames (no files, no collect) and its display form
+# --------------------------------------------------------------------------
+
+_FRAMES_PIPELINE = "Encounters - metric frames"
+
+
+def metric_frames_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows derived in-plan from the operators' metric frames, folded into a report."""
+    from curate.operators.cleaning import cast_profile
+    from curate.operators.dedupe import dedupe_stats
+    from curate.operators.integrity import fk_check
+    from curate.operators.profile import null_profile
+    from curate.operators.rules import check_rules
+    from curate.plans import silver as S
+    from curate.plans.catalogue import _fk_inputs
+    from curate.plans.report import build_report, log_from_frames
+    raw = encounters_raw(spark, sf_dir)
+    spec = encounters_spec(raw)
+    nulled = nullify(with_null(raw, "_corrupt_record"), spec.sentinel)
+    typed = apply_schema(nulled, spec.schema)
+    clean, fks = _fk_inputs(spark, sf_dir)
+    curated = curate(clean, spec)
+    frames = [
+        (S.STEP_LOAD, ingest_metrics(with_null(raw, "_corrupt_record"))),
+        (S.STEP_SCHEMA, cast_profile(nulled, spec.schema).agg(
+            F.coalesce(F.sum("failed_rows"), F.lit(0)).cast("long").alias("casting_failures_total"),
+            F.count(F.lit(1)).alias("columns_with_failures"))),
+        (S.STEP_DUPES, dedupe_stats(typed, spec.key)),
+        (S.STEP_NULLS, null_profile(clean).agg(F.count(F.lit(1)).alias("columns_with_nulls"))),
+        (S.STEP_FK, fk_check(clean, fks).agg(
+            F.sum("orphaned_fact_rows").cast("long").alias("total_orphaned_rows"))),
+        (S.STEP_RULES, check_rules(curated, spec.rules).agg(
+            F.sum("violations").cast("long").alias("total_violations"))),
+        (S.STEP_SAVE, curated.agg(F.count(F.lit(1)).alias("rows_saved"))),
+    ]
+    log = log_from_frames(frames, run_id=uuid.uuid4().hex)
+    return build_report(log, _FRAMES_PIPELINE, "silver")
+
+
+@register("metric_frames_report", _report_oracle(_FRAMES_PIPELINE, 7))
+def metric_frames_report_q(spark, sf_dir):
+    return metric_frames_report(spark, sf_dir).select(*REPORT_COLUMNS)
+
+
+@register("formatted_report", f"""
+SELECT format('{{:,}}', input_rows) AS input_rows, format('{{:,}}', output_rows) AS output_rows,
+       format('{{:,}}', casting_failures) AS casting_failures,
+       format('{{:,}}', duplicates_removed) AS duplicates_removed,
+       format('{{:,}}', orphaned_fk_rows) AS orphaned_fk_rows,
+       format('{{:,}}', constraint_violations) AS constraint_violations,
+       format('{{:,.2f}}', quality_score_pct) AS quality_score_pct
+FROM ({_report_oracle(_FRAMES_PIPELINE, 7)})""")
+def formatted_report(spark, sf_dir):
+    from curate.plans.report import format_report
+    return format_report(metric_frames_report(spark, sf_dir))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curate.functions.jsonfmt import field
+from curate.functions.jsonfmt import field, format_metric, payload, utc_now_iso
 
 
 @dataclass(frozen=True)
@@ -96,3 +96,33 @@ def build_report(log: DataFrame, pipeline: str, layer: str,
             report = report.withColumn("quality_score_pct", quality_score(
                 F.col("input_rows"), [F.col(n) for n in SCORE_ISSUES]))
     return report
+
+
+def log_from_frames(frames: Sequence[tuple[str, DataFrame]], run_id: str) -> DataFrame:
+    """Step-log rows built in-plan from one-row metric frames (JSN1, DT1).
+
+    Each frame's columns become the step's JSON payload; nothing is collected.
+    """
+    parts = []
+    for seq, (step, frame) in enumerate(frames, start=1):
+        parts.append(frame.select(
+            F.lit(run_id).alias("run_id"), F.lit(seq).cast("long").alias("seq"),
+            F.lit(step).alias("step"), F.lit("SUCCESS").alias("status"),
+            utc_now_iso().alias("timestamp_utc"),
+            payload(**{c: F.col(f"`{c}`") for c in frame.columns}).alias("payload")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
+# Report columns shown with thousands separators / two decimals (FMT1).
+FORMATTED = (("input_rows", 0), ("output_rows", 0), ("casting_failures", 0),
+             ("duplicates_removed", 0), ("orphaned_fk_rows", 0), ("constraint_violations", 0),
+             ("quality_score_pct", 2))
+
+
+def format_report(report: DataFrame, columns: Sequence[tuple[str, int]] = FORMATTED) -> DataFrame:
+    """The report's headline numbers as display strings."""
+    return report.select(*[format_metric(F.col(c), d).alias(c) for c, d in columns
+                           if c in report.columns])
