@@ -39,9 +39,11 @@ def lenient_cast(c: Column | str, data_type: T.DataType | str) -> Column:
     dt = T._parse_datatype_string(data_type) if isinstance(data_type, str) else data_type
     if isinstance(dt, INTEGRAL_TYPES):
         text = col.cast("string")
-        text = F.regexp_replace(text, _DECIMAL_TEXT, "$1")
-        text = F.regexp_replace(text, _BARE_FRACTION, "0")
-        return text.try_cast(dt)
+        # Fast path: plain integer text casts directly (no regex evaluated;
+        # coalesce only evaluates the rewrite when the direct cast fails).
+        rewritten = F.regexp_replace(F.regexp_replace(text, _DECIMAL_TEXT, "$1"),
+                                     _BARE_FRACTION, "0")
+        return F.coalesce(text.try_cast(dt), rewritten.try_cast(dt))
     if isinstance(dt, T.StringType):
         return col.cast(dt)
     return col.try_cast(dt)
