@@ -303,20 +303,25 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
 # --------------------------------------------------------------------------
 
 def group_summary(curated: DataFrame, spec: FactSpec) -> dict[str, DataFrame]:
-    s = spec.summary
-    return {
-        "readmission_by_age_count": share_of_group(curated, s.share_group, s.share_by),
-        "top_diagnoses_count": top_k(curated, s.top_key, s.top_distinct, s.top_k),
-        "demographic_groups": grouped_mean(curated, list(s.mean_by), s.mean_value,
-                                           s.mean_distinct),
-    }
+    """The three summaries; one whose columns the table lacks is left out."""
+    s, have = spec.summary, set(curated.columns)
+    out = {}
+    if {s.share_group, s.share_by} <= have:
+        out["readmission_by_age_count"] = share_of_group(curated, s.share_group, s.share_by)
+    if {s.top_key, s.top_distinct} <= have:
+        out["top_diagnoses_count"] = top_k(curated, s.top_key, s.top_distinct, s.top_k)
+    if set(s.mean_by) | {s.mean_value, s.mean_distinct} <= have:
+        out["demographic_groups"] = grouped_mean(curated, list(s.mean_by), s.mean_value,
+                                                 s.mean_distinct)
+    return out
 
 
 def run_summaries(curated: DataFrame, spec: FactSpec, log: StepLog) -> dict[str, DataFrame]:
     with log.step(STEP_SUMMARY) as payload:
         summaries = group_summary(curated, spec)
-        counts = summary_counts(summaries).collect()   # three small numbers
-        payload.update({r["summary"]: int(r["row_count"]) for r in counts})
+        if summaries:
+            counts = summary_counts(summaries).collect()   # three small numbers
+            payload.update({r["summary"]: int(r["row_count"]) for r in counts})
     return summaries
 
 

@@ -93,3 +93,25 @@ def test_half_up_rounding_is_exact(spark):
     got = [r[0] for r in df.select(pct("n", "t")).collect()]
     want = [((20000 * n + t) // (2 * t)) / 100 for n, t in rows]
     assert got == want
+
+
+from hypothesis import given, settings, HealthCheck
+from hypothesis import strategies as st
+
+_ALPHABET = st.sampled_from(list("0123456789") * 3 + [" ", ".", "-", "+", "e", "x", "\t", ","])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(_ALPHABET, min_size=0, max_size=12), min_size=50, max_size=200))
+def test_lenient_cast_property(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        legacy = [(r[0], r[1]) for r in df.select(F.col("v").cast("int"),
+                                                  F.col("v").cast("bigint")).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
+    ours = [(r[0], r[1]) for r in df.select(lenient_cast("v", T.IntegerType()),
+                                            lenient_cast("v", T.LongType())).collect()]
+    assert ours == legacy

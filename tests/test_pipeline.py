@@ -106,3 +106,19 @@ def test_divert_mode_writes_bad_records_and_counts_them(spark, tmp_path):
     assert sorted(r.encounter_id for r in fact.collect()) == [1, 3]
     bad = sorted(r.value for r in spark.read.text(cfg.bad_records_dir).collect())
     assert bad == ["2,b,extra", "4"]
+
+
+def test_empty_input_gives_zero_metrics_and_null_score(spark, tmp_path):
+    from curate.plans.fixtures import mapping_lines
+    from curate.plans.silver import run_silver
+    from curate.spec import ENCOUNTERS
+    from conftest import SF_SMALL
+    spec = ENCOUNTERS.restrict(["encounter_id", "age", "readmitted", "admission_type_id"])
+    p = tmp_path / "empty.csv"
+    p.write_text("encounter_id,age,readmitted,admission_type_id\n")
+    cfg = SilverConfig(base_dir=str(tmp_path / "run"), spec=spec,
+                       database=f"t_{uuid.uuid4().hex[:8]}")
+    out = run_silver(spark, cfg, str(p), mapping_lines(spark, SF_SMALL), spec=spec)
+    rep = out["report"].first()
+    assert rep.input_rows == 0 and rep.output_rows == 0 and rep.quality_score_pct is None
+    assert rep.success_steps == rep.step_count == 10
