@@ -1,8 +1,9 @@
 """Append-only step log (SNK4, SNK6).
 
-One JSON line per step: ``{run_id, seq, step, status, timestamp_utc,
-payload}``.  A failing step logs ``FAILED`` with the error and re-raises.
-History is kept: a run is selected by ``run_id`` instead of deleting old logs.
+One JSON line per step: ``{seq, step, status, timestamp_utc, payload}``,
+stored under ``<log_dir>/run_id=<id>/``.  A failing step logs ``FAILED`` with
+the error and re-raises.  History is kept: a run is selected by ``run_id``
+(partition pruning) instead of deleting old logs.
 """
 
 from __future__ import annotations
@@ -43,8 +44,11 @@ class StepLog:
             self.seq += 1
             records.append({"run_id": self.run_id, "seq": self.seq, "step": step,
                             "status": status, "timestamp_utc": utc_iso(), "payload": payload})
-        lines = [(json.dumps(r, default=_json_default),) for r in records]
-        literal_rows(self.spark, lines, "value string").write.mode("append").text(self.log_dir)
+        # The run id is the folder (``run_id=<id>``), so reading one run prunes the rest.
+        lines = [(json.dumps({k: v for k, v in r.items() if k != "run_id"},
+                             default=_json_default),) for r in records]
+        (literal_rows(self.spark, lines, "value string").write.mode("append")
+         .text(f"{self.log_dir}/run_id={self.run_id}"))
         self.records.extend(records)
         return records
 

@@ -1,8 +1,9 @@
 """Step-log scan (SRC9).
 
-Log records are JSON lines ``{run_id, seq, step, status, timestamp_utc,
-payload}`` with ``payload`` a JSON object; it is read back as its raw JSON
-text so any payload shape fits one schema.
+Log records are JSON lines ``{seq, step, status, timestamp_utc, payload}``
+under ``run_id=<id>/`` folders, ``payload`` being a JSON object read back as
+its raw JSON text so any payload shape fits one schema.  Selecting a run is
+a partition filter: other runs' files are not read.
 """
 
 from __future__ import annotations
@@ -10,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOG_SCHEMA = ("run_id string, seq long, step string, status string, timestamp_utc string, "
-              "payload string")
+LOG_SCHEMA = ("seq long, step string, status string, timestamp_utc string, payload string, "
+              "run_id string")
 
 
 def read_step_log(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
