@@ -250,7 +250,9 @@ def write_encounter_archives(spark: SparkSession, sf_dir: str, out_dir: str) ->
     raw = encounters_raw(spark, sf_dir)
     n = max(1, -(-raw.count() // ROWS_PER_ARCHIVE))
     cols = raw.columns
-    bucketed = raw.withColumn("_bucket", F.pmod(F.xxhash64(*cols), F.lit(n)))
+    # Salted with a per-row id: identical copies must not all land in one archive.
+    bucketed = raw.withColumn("_bucket", F.pmod(
+        F.xxhash64(*cols, F.monotonically_increasing_id()), F.lit(n)))
     fact = bucketed.groupBy("_bucket").applyInPandas(
         _fact_zip_writer(out_dir, cols, EXPECTED_FILES[0]), "bucket long, rows long")
     # The mapping file is one file by nature; its size is bounded by the

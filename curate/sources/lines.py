@@ -28,6 +28,7 @@ from curate.functions.text import csv_fields
 from curate.spec import DimSpec
 
 LINE_COLS = ("file", "block", "idx", "line")
+BROADCAST_MAX_SECTIONS = 1_000_000
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -112,6 +113,10 @@ def section_to_dim(sections: DataFrame, routed: DataFrame, dim: DimSpec,
     """
     heads = routed.where(F.col("dim") == dim.table).select(
         "file", "section", "header", "header_block", "header_idx")
+    # One row per section: broadcast it (size checked), so a section holding
+    # most of the lines is never shuffled into one task.
+    if heads.count() <= BROADCAST_MAX_SECTIONS:
+        heads = F.broadcast(heads)
     body = sections.join(heads, ["file", "section"]).where(
         ~((F.col("block") == F.col("header_block")) & (F.col("idx") == F.col("header_idx")))
         & (F.col("line") != ""))
