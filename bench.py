@@ -28,7 +28,7 @@ HEADLINE = (
 def count_passes(events_dir: str, raw_path: str, fact_table: str) -> dict:
     """SQL executions of the last silver run that scan the raw CSV / the saved fact table."""
     raw_execs, fact_execs = set(), set()
-    table = fact_table.split(".")[-1]
+    table = fact_table            # database name is unique per run
     files = [os.path.join(d, n) for d, _, names in os.walk(events_dir) for n in names]
     for path in files:
         with open(path, errors="replace") as f:
@@ -39,7 +39,8 @@ def count_passes(events_dir: str, raw_path: str, fact_table: str) -> dict:
                 plan, eid = ev.get("physicalPlanDescription", ""), ev.get("executionId")
                 if "Scan csv" in plan and raw_path in plan:
                     raw_execs.add(eid)
-                if f"{table}[" in plan or f"/{table}]" in plan or f"tables/{table}" in plan:
+                writes = "InsertIntoHadoopFsRelationCommand" in plan.split("\n", 3)[1]
+                if table in plan and "Scan" in plan and not writes:
                     fact_execs.add(eid)
     return {"raw_input_scans": len(raw_execs), "saved_fact_reads": len(fact_execs - raw_execs)}
 
