@@ -74,8 +74,11 @@ def _curated(spark, sf_dir):
 
 def _dims(spark, sf_dir) -> dict[str, DataFrame]:
     sections = split_sections(mapping_lines(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
-    routed = route_sections(section_headers(sections), DIMENSIONS)
-    return {d.table: section_to_dim(sections, routed, d) for d in DIMENSIONS}
+    routed = route_sections(section_headers(sections), DIMENSIONS).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    per_dim = {r["dim"]: r["n"] for r in routed.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    return {d.table: section_to_dim(sections, routed, d, n_sections=per_dim.get(d.table, 0))
+            for d in DIMENSIONS}
 
 
 _SPEC = ENCOUNTERS.restrict(O.RAW_COLUMNS)

@@ -112,7 +112,8 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
             if d.table not in present:
                 continue
             name = cfg.table(d.table)
-            save_table(section_to_dim(sections, routed, d), name, cfg.fmt,
+            n = sum(1 for r in heads if r["dim"] == d.table)
+            save_table(section_to_dim(sections, routed, d, n_sections=n), name, cfg.fmt,
                        path=f"{cfg.tables_dir}/{d.table}")
             dims[d.table] = spark.table(name)
         validation = dim_key_stats(dims, {d.table: d.id_col for d in cfg.dims})

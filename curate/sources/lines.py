@@ -104,18 +104,22 @@ def route_sections(headers: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
 
 
 def section_to_dim(sections: DataFrame, routed: DataFrame, dim: DimSpec,
-                   id_type: T.DataType = T.IntegerType()) -> DataFrame:
+                   id_type: T.DataType = T.IntegerType(),
+                   n_sections: int | None = None) -> DataFrame:
     """``(dim.id_col, dim.out_name)`` rows of the sections routed to ``dim``.
 
     Lines after the header are CSV records; the id and name fields are found
     by header name (case-insensitive).  Ids are cast leniently; rows without
-    an id are dropped (FLT1).
+    an id are dropped (FLT1).  ``n_sections`` (sections routed to ``dim``) is
+    counted when not given; it decides whether the header rows are broadcast.
     """
     heads = routed.where(F.col("dim") == dim.table).select(
         "file", "section", "header", "header_block", "header_idx")
     # One row per section: broadcast it (size checked), so a section holding
     # most of the lines is never shuffled into one task.
-    if heads.count() <= BROADCAST_MAX_SECTIONS:
+    if n_sections is None:
+        n_sections = heads.count()
+    if n_sections <= BROADCAST_MAX_SECTIONS:
         heads = F.broadcast(heads)
     body = sections.join(heads, ["file", "section"]).where(
         ~((F.col("block") == F.col("header_block")) & (F.col("idx") == F.col("header_idx")))
