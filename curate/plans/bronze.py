@@ -1,11 +1,12 @@
 """Bronze layer (SRC1 + SNK4 + PIPE4/PIPE5): archives -> extracted members.
 
-Archives are expanded in parallel; the expected members' text is written
-partitioned by member name (``<extract_dir>/file_name=<name>/``), so members
-of the same name from many archives land together and are read back as one
-input.  A member manifest (path, member, size, type) is written as a table;
-the log records counts, the missing expected names and -- for small runs --
-the member list itself.
+Archives are expanded in parallel and every expected member's text is
+streamed (decoded in bounded chunks) to ``<extract_dir>/file_name=<name>/``,
+so members of the same name from many archives land together and are read
+back as one input, and no member is ever held whole in memory.  The same job
+writes a member manifest (path, member, size, type, target) as a table; the
+log records counts, the missing expected names and -- for small runs -- the
+member list itself.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from curate.operators.integrity import missing_expected
 from curate.plans.report import BRONZE_METRICS, build_report
 from curate.plans.sinks import write_report
 from curate.plans.steplog import StepLog
-from curate.sources.archive import expand_archives
+from curate.sources.archive import extract_members
 from curate.sources.steplog import read_step_log
 
 # The bronze step name and the expected archive members.
@@ -60,16 +61,12 @@ def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None
     log = StepLog(spark, cfg.log_dir, run_id)
     with log.step(STEP_EXTRACT, archive_path=cfg.archive_path,
                   extract_dir=cfg.extract_dir) as payload:
+        # One job: tasks stream each expected member to its file and emit a
+        # manifest row, which is written as the manifest table.
         obs = Observation("extract")
-        members = expand_archives(spark, cfg.archive_path, cfg.expected)
-        (members.observe(obs, F.count(F.lit(1)).alias("members"),
-                         F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
-         .select("file_name", "text").write.mode("overwrite")
-         .partitionBy("file_name").text(cfg.extract_dir))
-        # The manifest pass lists members without decompressing them again.
-        manifest = (expand_archives(spark, cfg.archive_path, cfg.expected, with_text=False)
-                    .select("path", "member_path", "file_name", "size_bytes", "type"))
-        manifest.write.mode("overwrite").parquet(cfg.manifest_dir)
+        (extract_members(spark, cfg.archive_path, cfg.extract_dir, cfg.expected)
+         .observe(obs, F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
+         .write.mode("overwrite").parquet(cfg.manifest_dir))
         saved = spark.read.parquet(cfg.manifest_dir)
         counts = saved.agg(F.count(F.lit(1)).alias("n"),
                            F.count_distinct("path").alias("archives")).first()
@@ -80,7 +77,7 @@ def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None
                        expected_missing=missing)
         if counts["n"] <= MANIFEST_LIST_MAX:
             payload["exported_files"] = [
-                {"file_name": r["file_name"], "target_path": cfg.member_dir(r["file_name"]),
+                {"file_name": r["file_name"], "target_path": r["target_path"],
                  "size_bytes_in_zip": int(r["size_bytes"]), "type": r["type"]}
                 for r in saved.orderBy("path", "member_path").collect()]
         if missing:

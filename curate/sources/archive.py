@@ -1,10 +1,17 @@
 """Archive expansion (SRC1, STR6, STR7).
 
-Many ZIP archives are expanded in parallel: ``binaryFile`` lists and reads
-them (one archive is one row; files are packed into partitions of about
-``spark.sql.files.maxPartitionBytes``), and a ``mapInPandas`` generator walks
-each archive's members and yields them in bounded batches.  Decoding is
-UTF-8 with replacement characters and universal newlines.
+Many ZIP archives are expanded in parallel.  ``binaryFile`` only *lists* them
+(``path``, ``length``; the content column is pruned, so no bytes are read by
+the listing), the paths are spread over the cluster, and each task opens its
+archives through ``pyarrow.fs`` as seekable streams: ``zipfile`` then reads
+the central directory and one member at a time, so neither a whole archive
+nor a whole batch of archives is ever held in memory, and archives larger
+than a single Spark binary value are fine.  Members are yielded in bounded
+batches.  Decoding is UTF-8 with replacement characters and universal
+newlines.
+
+``stream=False`` falls back to reading each archive's bytes through Spark
+(``binaryFile`` content) for file systems pyarrow cannot open.
 """
 
 from __future__ import annotations
@@ -27,25 +34,47 @@ def _member_type(name: str) -> str:
     return mimetypes.guess_type(name)[0] or "application/octet-stream"
 
 
-def _expander(expected: frozenset[str] | None, with_text: bool = True):
+def _members(path: str, zf: zipfile.ZipFile, expected: frozenset[str] | None,
+             with_text: bool) -> Iterator[tuple]:
+    for info in zf.infolist():
+        if info.is_dir():
+            continue
+        name = info.filename.rsplit("/", 1)[-1]
+        if expected is not None and name not in expected:
+            continue
+        text = None
+        if with_text:
+            with zf.open(info, "r") as raw:
+                text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace").read()
+        yield (path, info.filename, name, info.file_size, _member_type(name), text)
+
+
+def arrow_uri(path: str) -> str:
+    """A Spark/Hadoop path as a URI pyarrow understands (``file:/x`` -> ``file:///x``, s3a -> s3)."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
+        if path.startswith(hadoop):
+            return arrow + path[len(hadoop):]
+    return path if "://" in path else f"file://{path}"
+
+
+def _open_stream(path: str):
+    from pyarrow import fs as pafs
+    filesystem, p = pafs.FileSystem.from_uri(arrow_uri(path))
+    return filesystem.open_input_file(p)
+
+
+def _expander(expected: frozenset[str] | None, with_text: bool, stream: bool):
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple] = []
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(bytes(content))) as zf:
-                    for info in zf.infolist():
-                        if info.is_dir():
-                            continue
-                        name = info.filename.rsplit("/", 1)[-1]
-                        if expected is not None and name not in expected:
-                            continue
-                        text = None
-                        if with_text:
-                            with zf.open(info, "r") as raw:
-                                text = io.TextIOWrapper(raw, encoding="utf-8",
-                                                        errors="replace").read()
-                        rows.append((path, info.filename, name, info.file_size,
-                                     _member_type(name), text))
+            for i, path in enumerate(pdf["path"]):
+                source = (_open_stream(path) if stream
+                          else io.BytesIO(bytes(pdf["content"].iloc[i])))
+                with source as f, zipfile.ZipFile(f) as zf:
+                    for row in _members(path, zf, expected, with_text):
+                        rows.append(row)
                         if len(rows) >= _BATCH_ROWS:
                             yield pd.DataFrame(rows, columns=_COLUMNS)
                             rows = []
@@ -54,8 +83,14 @@ def _expander(expected: frozenset[str] | None, with_text: bool = True):
     return expand
 
 
+def list_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+    """``path, length`` of every archive (no content is read)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", True).load(path).select("path", "length"))
+
+
 def expand_archives(spark: SparkSession, path: str, expected: Iterable[str] | None = None,
-                    glob: str = "*.zip", with_text: bool = True) -> DataFrame:
+                    glob: str = "*.zip", with_text: bool = True, stream: bool = True) -> DataFrame:
     """One row per archive member: ``path, member_path, file_name, size_bytes, type, text``.
 
     Directory entries are skipped; ``file_name`` is the text after the last
@@ -64,6 +99,76 @@ def expand_archives(spark: SparkSession, path: str, expected: Iterable[str] | No
     lists members without decompressing them (``text`` is null).
     """
     exp = None if expected is None else frozenset(expected)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", True).load(path).select("path", "content"))
-    return files.mapInPandas(_expander(exp, with_text), MEMBER_SCHEMA)
+    if stream:
+        # Listing rows are tiny; spread them so archives are opened by many tasks.
+        files = list_archives(spark, path, glob).repartition(
+            spark.sparkContext.defaultParallelism, "path")
+    else:
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+                 .option("recursiveFileLookup", True).load(path).select("path", "content"))
+    return files.mapInPandas(_expander(exp, with_text, stream), MEMBER_SCHEMA)
+
+
+# --------------------------------------------------------------------------
+# Streaming extraction to files (bronze)
+# --------------------------------------------------------------------------
+
+EXTRACT_SCHEMA = ("path string, member_path string, file_name string, size_bytes long, "
+                  "type string, target_path string")
+_CHUNK_CHARS = 1 << 20
+
+
+def _target(out_dir: str, archive: str, member: str, name: str) -> str:
+    stem = archive.rsplit("/", 1)[-1]
+    safe = "".join(ch if ch.isalnum() or ch in "._-" else "_" for ch in f"{stem}-{member}")
+    return f"{out_dir.rstrip('/')}/file_name={name}/{safe}.txt"
+
+
+def _extractor(out_dir: str, expected: frozenset[str] | None):
+    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as pafs
+        out_fs, out_root = pafs.FileSystem.from_uri(arrow_uri(out_dir))
+        prefix = out_dir.rstrip("/")
+        rows: list[tuple] = []
+        for pdf in batches:
+            for path in pdf["path"]:
+                with _open_stream(path) as f, zipfile.ZipFile(f) as zf:
+                    for info in zf.infolist():
+                        if info.is_dir():
+                            continue
+                        name = info.filename.rsplit("/", 1)[-1]
+                        if expected is not None and name not in expected:
+                            continue
+                        target = _target(out_dir, path, info.filename, name)
+                        local = out_root.rstrip("/") + target[len(prefix):]
+                        out_fs.create_dir(local.rsplit("/", 1)[0], recursive=True)
+                        # Deterministic target: a retried task overwrites, never duplicates.
+                        with zf.open(info, "r") as raw, out_fs.open_output_stream(local) as out:
+                            text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace")
+                            while chunk := text.read(_CHUNK_CHARS):
+                                out.write(chunk.encode("utf-8"))
+                        rows.append((path, info.filename, name, info.file_size,
+                                     _member_type(name), target))
+                        if len(rows) >= _BATCH_ROWS:
+                            yield pd.DataFrame(rows, columns=EXTRACT_SCHEMA_COLUMNS)
+                            rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=EXTRACT_SCHEMA_COLUMNS)
+    return extract
+
+
+EXTRACT_SCHEMA_COLUMNS = ["path", "member_path", "file_name", "size_bytes", "type", "target_path"]
+
+
+def extract_members(spark: SparkSession, path: str, out_dir: str,
+                    expected: Iterable[str] | None = None, glob: str = "*.zip") -> DataFrame:
+    """Stream every (expected) member's decoded text to ``out_dir/file_name=<name>/``.
+
+    Returns one metadata row per member (lazy: runs when the frame is
+    consumed, e.g. written as the manifest).  Member text never becomes a
+    DataFrame value, so members of any size are copied in bounded memory.
+    """
+    exp = None if expected is None else frozenset(expected)
+    files = list_archives(spark, path, glob).repartition(
+        spark.sparkContext.defaultParallelism, "path")
+    return files.mapInPandas(_extractor(out_dir, exp), EXTRACT_SCHEMA)

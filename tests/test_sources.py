@@ -108,3 +108,22 @@ def test_missing_expected(spark):
     found = spark.createDataFrame([("a.csv",), ("b.csv",), ("a.csv",)], "file_name string")
     got = [r[0] for r in missing_expected(spark, found, ["c.csv", "a.csv", "0.csv"]).collect()]
     assert got == ["0.csv", "c.csv"]
+
+
+def test_extract_members_streams_to_files(spark, tmp_path):
+    from curate.sources.archive import extract_members
+    big = ("id,text\r\n" + "".join(f"{i},row {i} \xe9\r\n" for i in range(200000))).encode("utf-8")
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("d/", b"")
+        zf.writestr("d/big.csv", big + b"\xff\n")
+        zf.writestr("d/skip.bin", b"x")
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "a.zip").write_bytes(buf.getvalue())
+    out = str(tmp_path / "out")
+    meta = extract_members(spark, str(tmp_path / "z"), out, expected={"big.csv"}).collect()
+    assert [(m.file_name, m.size_bytes) for m in meta] == [("big.csv", len(big) + 2)]
+    back = spark.read.option("header", True).csv(f"{out}/file_name=big.csv")
+    assert back.count() == 200001                      # last line is the replacement char
+    text = open(meta[0].target_path.replace("file:", ""), encoding="utf-8").read()
+    assert "\r" not in text and text.endswith("�\n")
