@@ -116,3 +116,24 @@ def test_spread_only_resplits_undersplit_inputs(spark, tmp_path):
     assert spread(many, min_bytes=0)._jdf.rdd().getNumPartitions() == 16
     tiny = spark.read.parquet(f"{SF_SMALL}/region.parquet")
     assert spread(tiny)._jdf.rdd().getNumPartitions() == 1            # below the size floor
+
+
+def test_all_null_column_profile(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "a int, b string")
+    prof = {r.column: (r.null_count, r.null_pct) for r in null_profile(df).collect()}
+    assert prof == {"b": (2, 100.0)}
+    empty = spark.createDataFrame([], "a int, b string")
+    assert null_profile(empty).count() == 0                 # no rows: nothing is missing
+
+
+def test_gender_rule_fires_without_canonicalisation(spark):
+    from curate.spec import ENCOUNTERS, GENDER_DOMAIN
+    from curate.operators.standardise import curate as std
+    raw = spark.createDataFrame([("male",), ("Female",), ("Unknown/Invalid",)], "gender string")
+    spec = ENCOUNTERS.restrict(["gender"])
+    # with the standardisation, unknown spellings become null: the rule cannot fire
+    got = {r.constraint: r.violations for r in check_rules(std(raw, spec), spec.rules).collect()}
+    assert got == {"gender_valid_values": 0}
+    # applied to raw values the rule reports both off-domain spellings
+    got = {r.constraint: r.violations for r in check_rules(raw, spec.rules).collect()}
+    assert got == {"gender_valid_values": 2} and GENDER_DOMAIN == ("Male", "Female")
