@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import io
 import mimetypes
+import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 
@@ -127,6 +128,9 @@ def _target(out_dir: str, archive: str, member: str, name: str) -> str:
 def _extractor(out_dir: str, expected: frozenset[str] | None):
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
+        from pyspark import TaskContext
+        ctx = TaskContext.get()
+        attempt = f"{ctx.partitionId()}-{ctx.attemptNumber()}" if ctx else "driver"
         out_fs, out_root = pafs.FileSystem.from_uri(arrow_uri(out_dir))
         prefix = out_dir.rstrip("/")
         rows: list[tuple] = []
@@ -142,11 +146,15 @@ def _extractor(out_dir: str, expected: frozenset[str] | None):
                         target = _target(out_dir, path, info.filename, name)
                         local = out_root.rstrip("/") + target[len(prefix):]
                         out_fs.create_dir(local.rsplit("/", 1)[0], recursive=True)
-                        # Deterministic target: a retried task overwrites, never duplicates.
-                        with zf.open(info, "r") as raw, out_fs.open_output_stream(local) as out:
+                        # Each attempt writes its own temporary file, then moves it onto
+                        # the deterministic target: a retried or speculative attempt
+                        # replaces the file whole, never duplicates or interleaves it.
+                        tmp = f"{local}.{attempt}.{uuid.uuid4().hex[:8]}.tmp"
+                        with zf.open(info, "r") as raw, out_fs.open_output_stream(tmp) as out:
                             text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace")
                             while chunk := text.read(_CHUNK_CHARS):
                                 out.write(chunk.encode("utf-8"))
+                        out_fs.move(tmp, local)
                         rows.append((path, info.filename, name, info.file_size,
                                      _member_type(name), target))
                         if len(rows) >= _BATCH_ROWS:
