@@ -71,7 +71,8 @@ def compare(spark: SparkSession, con, name: str, sf_dir: str, query, sql: str) -
 def main(argv: list[str]) -> int:
     from curate.plans.catalogue import ORACLE, QUERIES
     from curate.session import get_session
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = next((a.split("=", 1)[1] for a in argv if a.startswith("--sf=")),
+                  "/root/testdata/sf0.01")
     names = [a for a in argv if not a.startswith("--")] or sorted(ORACLE)
     spark = get_session()
     con = duckdb_connection(sf_dir)
