@@ -5,9 +5,12 @@ may keep a different one than was saved or profiled.  Here the kept row is
 the smallest by (order columns, then every other column) ascending with nulls
 first.  It is computed as a grouped ``min(struct(...))``: the aggregation is
 partial on every map task, so a hot key holding a third of all rows is folded
-to one row per task *before* the shuffle -- no single task ever receives the
-whole group (a ``row_number`` window would sort the whole group in one task).
-Null keys form one group, as with ``dropDuplicates``.
+to one row per task *before* the shuffle and no task receives the whole
+group.  The same aggregation also carries per-key sums (rows folded, row-level
+metric flags) through the shuffle, which the single-pass silver flow relies on.
+(Spark 3.5+ also pre-limits a ``row_number() = 1`` window on the map side, so
+that form is skew-safe as well, but it cannot carry the sums.)  Null keys form
+one group, as with ``dropDuplicates``.
 """
 
 from __future__ import annotations
