@@ -259,18 +259,21 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
         "casting_failures_total": cast_total, "casting_failures_by_column": failures,
         "columns_with_failures": len(failures)}))
 
-    entries.append((STEP_DUPES, SUCCESS, {"rows_before": rows_before, "rows_after": rows_after,
-                                    "duplicates_removed": rows_before - rows_after}))
+    entries.append((STEP_DUPES, SUCCESS, {
+        "rows_before": rows_before, "rows_after": rows_after,
+        "duplicates_removed": rows_before - rows_after}))
 
     missing = {}
     for i, c in enumerate(spec.columns):
         n = _sum0(m1[f"null{i}"])
         if n > 0:
             missing[c] = {"null_count": n, "null_pct": pct_half_up(n, rows_after)}
-    entries.append((STEP_NULLS, SUCCESS, {"total_rows": rows_after, "columns_with_nulls": len(missing),
-                                    "missing_values": missing}))
+    entries.append((STEP_NULLS, SUCCESS, {
+        "total_rows": rows_after, "columns_with_nulls": len(missing),
+        "missing_values": missing}))
 
-    fk_validation = {fk: {"valid_dim_values": sizes[fk], "orphaned_fact_rows": _sum0(m1[f"fk{i}"])}
+    fk_validation = {fk: {"valid_dim_values": sizes[fk],
+                          "orphaned_fact_rows": _sum0(m1[f"fk{i}"])}
                      for i, (fk, _) in enumerate(hits)}
     entries.append((STEP_FK, SUCCESS, {
         "total_orphaned_rows": sum(v["orphaned_fact_rows"] for v in fk_validation.values()),
@@ -288,8 +291,9 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
         n = _sum0(m2[f"r{i}"])
         if r.report_zero or n > 0:
             violations[r.name] = n
-    entries.append((STEP_RULES, SUCCESS, {"total_violations": sum(violations.values()),
-                                    "violations_by_constraint": violations}))
+    entries.append((STEP_RULES, SUCCESS, {
+        "total_violations": sum(violations.values()),
+        "violations_by_constraint": violations}))
 
     entries.append((STEP_SAVE, SUCCESS, saved_info))
     log.write_many(entries)
