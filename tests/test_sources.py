@@ -127,3 +127,13 @@ def test_extract_members_streams_to_files(spark, tmp_path):
     assert back.count() == 200001                      # last line is the replacement char
     text = open(meta[0].target_path.replace("file:", ""), encoding="utf-8").read()
     assert "\r" not in text and text.endswith("�\n")
+
+
+def test_route_first_keyword_wins_and_case_insensitive(spark):
+    from curate.sources.lines import route_sections
+    heads = spark.createDataFrame(
+        [("f", 0, 0, "ADMISSION_TYPE_ID,discharge_disposition_id,description"),
+         ("f", 1, 1, "Admission_Source_ID,description"), ("f", 2, 2, None)],
+        "file string, section long, section_no long, header string")
+    got = {r.section_no: r.dim for r in route_sections(heads, DIMENSIONS).collect()}
+    assert got == {0: "dim_admission_type", 1: "dim_admission_source", 2: None}

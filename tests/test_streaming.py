@@ -34,3 +34,18 @@ def test_stream_curation_batches_and_restart(spark, tmp_path):
     q2, _ = start_curation(spark, land, spec, out, ckpt, logs, names=raw.columns)
     q2.awaitTermination()
     assert read_curated(spark, out).count() == total
+
+
+def test_stream_dedupe_first_is_stateful_across_batches(spark, tmp_path):
+    from curate.spec import ENCOUNTERS
+    spec = ENCOUNTERS.restrict(["encounter_id", "race"])
+    land = tmp_path / "landing"
+    land.mkdir()
+    for i, rows in enumerate([["1,a", "2,b", "1,c"], ["2,d", "3,e"], ["3,f", "4,g"]]):
+        (land / f"part-{i}.csv").write_text("encounter_id,race\n" + "\n".join(rows) + "\n")
+    q, _ = start_curation(spark, str(land), spec, str(tmp_path / "out"), str(tmp_path / "ck"),
+                          str(tmp_path / "logs"), names=["encounter_id", "race"],
+                          dedupe="first", max_files_per_trigger=1)
+    q.awaitTermination()
+    got = sorted(r.encounter_id for r in read_curated(spark, str(tmp_path / "out")).collect())
+    assert got == [1, 2, 3, 4]                 # later duplicates dropped across micro-batches
