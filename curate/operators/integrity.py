@@ -61,17 +61,22 @@ def orphan_predicate(fk: str, hit_col: str) -> Column:
 
 
 def flag_fks(fact: DataFrame, fks: Sequence[tuple[str, DataFrame, str]],
-             broadcast_max_ids: int = DEFAULT_BROADCAST_MAX_IDS
+             broadcast_max_ids: int = DEFAULT_BROADCAST_MAX_IDS,
+             persisted: list[DataFrame] | None = None
              ) -> tuple[DataFrame, list[tuple[str, str]], dict[str, int]]:
     """Add one hit column per foreign key.
 
-    Returns ``(flagged, [(fk, hit_col)], {fk: valid_dim_values})``.
+    Returns ``(flagged, [(fk, hit_col)], {fk: valid_dim_values})``.  The
+    persisted id sets are appended to ``persisted`` so a caller can release
+    them once the flagged frame has been consumed.
     """
     # The id sets are small and used twice (size check, then the join): persist
     # them so the dimension side is computed once.  Lost blocks are recomputed.
     id_sets = {fk: distinct_ids(dim, id_col).persist(StorageLevel.MEMORY_AND_DISK)
                for fk, dim, id_col in fks}
     sizes = id_set_sizes(id_sets)
+    if persisted is not None:
+        persisted.extend(id_sets.values())
     hits = []
     for i, (fk, _, _) in enumerate(fks):
         hit = f"_fk_hit_{i}"

@@ -157,6 +157,7 @@ class FactPlan:
     sizes: dict[str, int]
     schema_exact: bool
     diverted: int | None
+    persisted: list                # small cached id sets, released after the write
 
 
 def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
@@ -192,7 +193,8 @@ def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
 
     # -- foreign keys: size-checked broadcast joins, same stage ---------------
     fk_inputs = [(k.fk, dims[k.dim_table], k.dim_id) for k in spec.fks if k.dim_table in dims]
-    flagged, hits, sizes = flag_fks(deduped, fk_inputs, cfg.broadcast_max_ids)
+    persisted: list[DataFrame] = []
+    flagged, hits, sizes = flag_fks(deduped, fk_inputs, cfg.broadcast_max_ids, persisted)
 
     # -- observed metrics on the clean (deduped, typed) rows ------------------
     obs_clean = Observation("clean")
@@ -210,7 +212,7 @@ def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
     rule_aggs = [F.count_if(r.violated()).alias(f"r{i}") for i, r in enumerate(spec.rules)]
     observed = curated.observe(obs_rules, F.count(F.lit(1)).alias("rows"), *rule_aggs)
     return FactPlan(observed, obs_clean, obs_rules, raw_cols, fails, hits, sizes, schema_exact,
-                    diverted)
+                    diverted, persisted)
 
 
 def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
@@ -230,6 +232,8 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
         saved_info = save_table(plan.observed, table, cfg.fmt,
                                 path=f"{cfg.tables_dir}/{spec.name}")
         m1, m2 = plan.obs_clean.get, plan.obs_rules.get
+        for cached in plan.persisted:
+            cached.unpersist()
     except Exception as e:
         log.write(STEP_LOAD, FAILED, {"input_csv": input_desc,
                                       "bad_records_dir": cfg.bad_records_dir, "error": str(e)})
