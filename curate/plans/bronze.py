@@ -24,7 +24,7 @@ from curate.sources.archive import extract_members
 from curate.sources.steplog import read_step_log
 
 # The bronze step name and the expected archive members.
-STEP_EXTRACT = "bronze_archive_extract"
+STEP_EXTRACT = "diabetes_zip_extract"
 EXPECTED_FILES = ("diabetic_data.csv", "IDS_mapping.csv")
 MANIFEST_LIST_MAX = 1000   # member list is inlined in the log up to this size
 
@@ -59,7 +59,7 @@ class BronzeConfig:
 def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None) -> dict:
     """Extract the expected members of every archive under ``cfg.archive_path``."""
     log = StepLog(spark, cfg.log_dir, run_id)
-    with log.step(STEP_EXTRACT, archive_path=cfg.archive_path,
+    with log.step(STEP_EXTRACT, zip_path=cfg.archive_path,
                   extract_dir=cfg.extract_dir) as payload:
         # One job: tasks stream each expected member to its file and emit a
         # manifest row, which is written as the manifest table.
@@ -71,7 +71,7 @@ def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None
         counts = saved.agg(F.count(F.lit(1)).alias("n"),
                            F.count_distinct("path").alias("archives")).first()
         missing = [r[0] for r in missing_expected(spark, saved, cfg.expected).collect()]
-        payload.update(archive_path=cfg.archive_path, extract_dir=cfg.extract_dir,
+        payload.update(zip_path=cfg.archive_path, extract_dir=cfg.extract_dir,
                        archives=int(counts["archives"]), exported_files_count=int(counts["n"]),
                        extracted_bytes=int(obs.get["bytes"]), manifest=cfg.manifest_dir,
                        expected_missing=missing)

@@ -43,10 +43,10 @@ SILVER_METRICS = (
 )
 
 BRONZE_METRICS = (
-    Metric("archives_read", "bronze_archive_extract", "archives"),
-    Metric("files_extracted", "bronze_archive_extract", "exported_files_count"),
-    Metric("extraction_path", "bronze_archive_extract", "extract_dir", "string", ""),
-    Metric("expected_missing", "bronze_archive_extract", "expected_missing", "string", "[]"),
+    Metric("archives_read", "diabetes_zip_extract", "archives"),
+    Metric("files_extracted", "diabetes_zip_extract", "exported_files_count"),
+    Metric("extraction_path", "diabetes_zip_extract", "extract_dir", "string", ""),
+    Metric("expected_missing", "diabetes_zip_extract", "expected_missing", "string", "[]"),
 )
 
 # Issues summed by the quality score (each a metric name above).
