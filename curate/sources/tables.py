@@ -13,7 +13,11 @@ SPREAD_MIN_BYTES = 1 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (file sizes for a plain scan)."""
+    """Catalyst's size estimate of ``df`` (file sizes for a plain scan).
+
+    PySpark has no public accessor for plan statistics, so this reads them
+    from the JVM plan; any failure counts as "unknown" (0: do not re-split).
+    """
     try:
         return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     except Exception:
@@ -29,7 +33,7 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     table on a real cluster -- are returned unchanged, so no shuffle is added.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) < min_bytes or df._jdf.rdd().getNumPartitions() >= target:
+    if estimated_bytes(df) < min_bytes or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
 
