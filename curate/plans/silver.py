@@ -38,6 +38,7 @@ from curate.sources.csv import read_permissive_csv, write_bad_records
 from curate.sources.lines import (route_sections, section_headers, section_to_dim,
                                   split_sections)
 from curate.sources.steplog import read_step_log
+from curate.sources.tables import spread
 from curate.spec import DIMENSIONS, ENCOUNTERS, DimSpec, FactSpec
 
 # Step names of the silver log.
@@ -168,6 +169,7 @@ def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
         raw = read_permissive_csv(spark, source, corrupt_col=corrupt)
     else:
         raw = with_null(source, corrupt)
+    raw = spread(raw)                      # a lone unsplittable raw file is re-split
     raw_cols = [c for c in raw.columns if c != corrupt]
     diverted = None
     if cfg.on_corrupt == "divert":

@@ -27,10 +27,13 @@ def estimated_bytes(df: DataFrame) -> int:
 def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Round-robin repartition an under-split relation to the cluster's parallelism.
 
-    A few large unsplittable files (one parquet row group, a gzip CSV) would
-    otherwise run every per-row expression above the scan in one task.  Inputs
-    that already have at least ``defaultParallelism`` splits -- every large
-    table on a real cluster -- are returned unchanged, so no shuffle is added.
+    Used where heavy per-row work follows a scan (the raw fact input): a few
+    large unsplittable files (a gzip CSV, one huge parquet row group) would
+    otherwise run all of it in one task.  Inputs that already have at least
+    ``defaultParallelism`` splits -- every large table on a real cluster -- are
+    returned unchanged, so no shuffle is added.  Scans feeding an aggregation
+    are not spread: the partial aggregate in the scan task is cheaper than
+    shuffling every row first.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if estimated_bytes(df) < min_bytes or df.rdd.getNumPartitions() >= target:
@@ -40,9 +43,9 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``<sf_dir>/<name>.parquet`` as a DataFrame (filters and projections push into the scan)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table by (qualified) name."""
-    return spread(spark.table(name))
+    return spark.table(name)
