@@ -17,6 +17,7 @@ write the table, then the summaries read the saved (columnar, pruned) table.
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -106,8 +107,9 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
         sections = split_sections(lines).persist(StorageLevel.MEMORY_AND_DISK)
         routed = route_sections(section_headers(sections), cfg.dims).persist(
             StorageLevel.MEMORY_AND_DISK)
-        heads = routed.select("section_no", "dim").collect()   # one small row per section
+        heads = routed.select("section_no", "dim", "header").collect()  # one row per section
         present = {r["dim"] for r in heads}
+        _check_headers(heads, cfg.dims)
         dims = {}
         for d in cfg.dims:
             if d.table not in present:
@@ -124,6 +126,20 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
     return dims
 
 
+def _check_headers(heads: list, dims: tuple[DimSpec, ...]) -> None:
+    """Every routed section must name its id and name columns (else: analysis error)."""
+    specs = {d.table: d for d in dims}
+    for r in heads:
+        d = specs.get(r["dim"])
+        if d is None:
+            continue
+        names = {n.strip().lower() for n in next(csv.reader([r["header"] or ""]), [])}
+        missing = [c for c in (d.id_col, d.name_col) if c.lower() not in names]
+        if missing:
+            raise ValueError(f"section {r['section_no']} ({d.table}) has no column(s) "
+                             f"{missing}; header: {r['header']!r}")
+
+
 def dim_key_stats(dims: dict[str, DataFrame], id_cols: dict[str, str]) -> dict[str, dict]:
     """``{table: {rows, distinct_ids, duplicates}}`` for all saved dimensions in one job."""
     if not dims:

@@ -122,3 +122,16 @@ def test_empty_input_gives_zero_metrics_and_null_score(spark, tmp_path):
     rep = out["report"].first()
     assert rep.input_rows == 0 and rep.output_rows == 0 and rep.quality_score_pct is None
     assert rep.success_steps == rep.step_count == 10
+
+
+def test_dimension_header_without_id_column_fails_the_step(spark, tmp_path):
+    from curate.plans.silver import build_dims
+    from curate.sources.literal import literal_rows
+    lines = literal_rows(spark, [("m", 0, 0, "admission_type_id,desc"), ("m", 0, 1, "1,x")],
+                         "file string, block long, idx long, line string")
+    cfg = SilverConfig(base_dir=str(tmp_path / "run"), database=f"t_{uuid.uuid4().hex[:8]}")
+    log = StepLog(spark, cfg.log_dir)
+    with pytest.raises(ValueError, match="description"):
+        build_dims(spark, lines, cfg, log)
+    assert [(r["step"], r["status"]) for r in log.records] == [
+        ("silver_dim__create_dimensions", "FAILED")]
