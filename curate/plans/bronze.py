@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from curate.operators.integrity import missing_expected
-from curate.plans.report import BRONZE_METRICS, build_report
+from curate.plans.report import BRONZE_METRICS, build_report, report_document
 from curate.plans.sinks import write_report
 from curate.plans.steplog import StepLog
 from curate.sources.archive import extract_members
@@ -84,7 +84,7 @@ def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None
             print(f"WARNING: missing expected files: {missing}")
     report = build_report(read_step_log(spark, cfg.log_dir, log.run_id), cfg.pipeline_name,
                           "bronze", BRONZE_METRICS, score=False)
-    write_report(report, cfg.report_path)
+    write_report(report_document(report, BRONZE_METRICS), cfg.report_path)
     return {"run_id": log.run_id, "log": log, "report": report, "manifest": saved,
             "missing": missing}
 

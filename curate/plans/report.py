@@ -126,3 +126,25 @@ def format_report(report: DataFrame, columns: Sequence[tuple[str, int]] = FORMAT
     """The report's headline numbers as display strings."""
     return report.select(*[format_metric(F.col(c), d).alias(c) for c, d in columns
                            if c in report.columns])
+
+
+# JSON-valued metrics re-parsed into nested values for the written document.
+_NESTED = {
+    "missing_values_details": "map<string, struct<null_count: bigint, null_pct: double>>",
+    "violations_by_constraint": "map<string, bigint>",
+    "expected_missing": "array<string>",
+}
+
+
+def report_document(report: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
+    """The report as a document: run fields plus a nested ``data_quality_metrics``."""
+    values = []
+    for m in metrics:
+        c = F.col(m.name)
+        if m.name in _NESTED:
+            c = F.from_json(c, _NESTED[m.name])
+        values.append(c.alias(m.name))
+    if "quality_score_pct" in report.columns:
+        values.append(F.col("quality_score_pct"))
+    return report.select("pipeline", "layer", "execution_timestamp", "total_steps",
+                         "steps_status", F.struct(*values).alias("data_quality_metrics"))

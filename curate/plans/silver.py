@@ -32,7 +32,7 @@ from curate.operators.integrity import DEFAULT_BROADCAST_MAX_IDS, flag_fks, orph
 from curate.operators.profile import key_stats
 from curate.operators.standardise import curate
 from curate.operators.summary import grouped_mean, share_of_group, summary_counts, top_k
-from curate.plans.report import build_report
+from curate.plans.report import SILVER_METRICS, build_report, report_document
 from curate.plans.sinks import ensure_db, save_table, write_report
 from curate.plans.steplog import FAILED, SUCCESS, StepLog
 from curate.sources.csv import read_permissive_csv, write_bad_records
@@ -372,9 +372,6 @@ def run_silver(spark: SparkSession, cfg: SilverConfig, fact_source: str | DataFr
     summaries = run_summaries(fact, spec, log)
     report = silver_report(spark, cfg, log.run_id)
     if write:
-        write_report(report.withColumn("missing_values_details", F.from_json(
-            "missing_values_details", "map<string, struct<null_count: bigint, null_pct: double>>"))
-            .withColumn("violations_by_constraint", F.from_json(
-                "violations_by_constraint", "map<string, bigint>")), cfg.report_path)
+        write_report(report_document(report, SILVER_METRICS), cfg.report_path)
     return {"run_id": log.run_id, "dims": dims, "fact": fact, "metrics": metrics,
             "summaries": summaries, "report": report, "log": log}

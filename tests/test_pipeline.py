@@ -135,3 +135,13 @@ def test_dimension_header_without_id_column_fails_the_step(spark, tmp_path):
         build_dims(spark, lines, cfg, log)
     assert [(r["step"], r["status"]) for r in log.records] == [
         ("silver_dim__create_dimensions", "FAILED")]
+
+
+def test_written_report_document_shape(silver, spark):
+    doc = spark.read.json(silver["log"].log_dir.replace("/_logs", "/data_quality_report")).first()
+    assert set(doc.asDict()) == {"pipeline", "layer", "execution_timestamp", "total_steps",
+                                 "steps_status", "data_quality_metrics"}
+    m = doc.data_quality_metrics
+    assert m.input_rows == silver["metrics"]["input_rows"]
+    assert m.violations_by_constraint.asDict() == silver["metrics"]["violations"]
+    assert m.quality_score_pct is not None
