@@ -46,6 +46,9 @@ def main(argv: list[str]) -> int:
     out = run_all(spark, base_dir=args[1], archive_path=args[0],
                   database=args[2] if len(args) > 2 else "silver",
                   restrict="--restrict" in argv)
+    for name, summary in out["silver"]["summaries"].items():
+        print(f"[{name}]")
+        summary.show(20, truncate=False)                  # bounded preview (SRT4)
     for layer in ("bronze", "silver"):
         row = out[layer]["report"].first().asDict(recursive=True)
         print(json.dumps({layer: row}, default=str))
