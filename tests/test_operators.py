@@ -137,3 +137,16 @@ def test_gender_rule_fires_without_canonicalisation(spark):
     # applied to raw values the rule reports both off-domain spellings
     got = {r.constraint: r.violations for r in check_rules(raw, spec.rules).collect()}
     assert got == {"gender_valid_values": 2} and GENDER_DOMAIN == ("Male", "Female")
+
+
+def test_empty_rule_and_metric_lists(spark):
+    from curate.operators.metrics import counts_long
+    df = spark.createDataFrame([(1,), (None,)], "a int")
+    assert check_rules(df, []).collect() == []
+    assert counts_long(df, [], "name", "value").collect() == []
+    empty = spark.createDataFrame([], "a int")
+    assert [tuple(r) for r in counts_long(empty, [("a_null", F.col("a").isNull())],
+                                          "name", "value").collect()] == [("a_null", 0, 0)]
+    assert dedupe(empty, ["a"]).count() == 0
+    st = dedupe_stats(empty, ["a"]).first()
+    assert (st.rows_before, st.rows_after, st.duplicates_removed) == (0, 0, 0)
