@@ -17,7 +17,6 @@ write the table, then the summaries read the saved (columnar, pruned) table.
 
 from __future__ import annotations
 
-import csv
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curate.functions.casting import lenient_cast
+from curate.functions.text import csv_fields
 from curate.operators.cleaning import cast_failure_predicates, nullify, q, schema_matches, with_null
 from curate.operators.dedupe import COUNT, dedupe_grouped
 from curate.operators.integrity import DEFAULT_BROADCAST_MAX_IDS, flag_fks, orphan_predicate
@@ -107,37 +107,45 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
         sections = split_sections(lines).persist(StorageLevel.MEMORY_AND_DISK)
         routed = route_sections(section_headers(sections), cfg.dims).persist(
             StorageLevel.MEMORY_AND_DISK)
-        heads = routed.select("section_no", "dim", "header").collect()  # one row per section
-        present = {r["dim"] for r in heads}
-        _check_headers(heads, cfg.dims)
+        per_dim = _sections_per_dim(routed, cfg.dims)      # at most one row per dimension
+        present = {d for d in per_dim if d is not None}
         dims = {}
         for d in cfg.dims:
             if d.table not in present:
                 continue
             name = cfg.table(d.table)
-            n = sum(1 for r in heads if r["dim"] == d.table)
+            n = per_dim[d.table]
             save_table(section_to_dim(sections, routed, d, n_sections=n), name, cfg.fmt,
                        path=f"{cfg.tables_dir}/{d.table}")
             dims[d.table] = spark.table(name)
         validation = dim_key_stats(dims, {d.table: d.id_col for d in cfg.dims})
-        payload.update(sections_parsed=len(heads), validation=validation)
+        payload.update(sections_parsed=sum(per_dim.values()), validation=validation)
         routed.unpersist()
         sections.unpersist()
     return dims
 
 
-def _check_headers(heads: list, dims: tuple[DimSpec, ...]) -> None:
-    """Every routed section must name its id and name columns (else: analysis error)."""
-    specs = {d.table: d for d in dims}
-    for r in heads:
-        d = specs.get(r["dim"])
-        if d is None:
-            continue
-        names = {n.strip().lower() for n in next(csv.reader([r["header"] or ""]), [])}
-        missing = [c for c in (d.id_col, d.name_col) if c.lower() not in names]
-        if missing:
-            raise ValueError(f"section {r['section_no']} ({d.table}) has no column(s) "
-                             f"{missing}; header: {r['header']!r}")
+def _sections_per_dim(routed: DataFrame, dims: tuple[DimSpec, ...]) -> dict[str | None, int]:
+    """Sections per routed dimension (``None``: unrouted), checked on the cluster.
+
+    A section routed to a dimension must name its id and name columns, as a
+    column lookup by name would otherwise fail; the first offending header is
+    reported.  Only one row per dimension reaches the driver.
+    """
+    names = F.transform(csv_fields(F.col("header")), lambda x: F.lower(F.trim(x)))
+    ok = F.lit(True)
+    for d in dims:
+        has = (F.array_contains(names, d.id_col.lower())
+               & F.array_contains(names, d.name_col.lower()))
+        ok = F.when(F.col("dim") == d.table, has).otherwise(ok)
+    rows = routed.groupBy("dim").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.first(F.when(~ok, F.col("header")), ignorenulls=True).alias("bad_header")).collect()
+    for r in rows:
+        if r["bad_header"] is not None:
+            raise ValueError(f"sections routed to {r['dim']} must name the dimension's id and "
+                             f"name columns; header: {r['bad_header']!r}")
+    return {r["dim"]: int(r["n"]) for r in rows}
 
 
 def dim_key_stats(dims: dict[str, DataFrame], id_cols: dict[str, str]) -> dict[str, dict]:

@@ -131,7 +131,7 @@ def test_dimension_header_without_id_column_fails_the_step(spark, tmp_path):
                          "file string, block long, idx long, line string")
     cfg = SilverConfig(base_dir=str(tmp_path / "run"), database=f"t_{uuid.uuid4().hex[:8]}")
     log = StepLog(spark, cfg.log_dir)
-    with pytest.raises(ValueError, match="description"):
+    with pytest.raises(ValueError, match="admission_type_id,desc"):
         build_dims(spark, lines, cfg, log)
     assert [(r["step"], r["status"]) for r in log.records] == [
         ("silver_dim__create_dimensions", "FAILED")]
