@@ -82,8 +82,8 @@ def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None
                 for r in saved.orderBy("path", "member_path").collect()]
         if missing:
             print(f"WARNING: missing expected files: {missing}")
-    report = build_report(read_step_log(spark, cfg.log_dir, log.run_id), cfg.pipeline_name,
-                          "bronze", BRONZE_METRICS, score=False)
+    report = build_report(read_step_log(spark, cfg.log_dir, log.run_id, require=True),
+                          cfg.pipeline_name, "bronze", BRONZE_METRICS, score=False)
     write_report(report_document(report, BRONZE_METRICS), cfg.report_path)
     return {"run_id": log.run_id, "log": log, "report": report, "manifest": saved,
             "missing": missing}

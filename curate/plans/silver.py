@@ -365,7 +365,7 @@ def run_summaries(curated: DataFrame, spec: FactSpec, log: StepLog) -> dict[str,
 # --------------------------------------------------------------------------
 
 def silver_report(spark: SparkSession, cfg: SilverConfig, run_id: str) -> DataFrame:
-    log = read_step_log(spark, cfg.log_dir, run_id)
+    log = read_step_log(spark, cfg.log_dir, run_id, require=True)
     return build_report(log, cfg.pipeline_name, "silver")
 
 

@@ -15,7 +15,17 @@ LOG_SCHEMA = ("seq long, step string, status string, timestamp_utc string, paylo
               "run_id string")
 
 
-def read_step_log(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """Parse the log's non-blank lines; optionally keep one run."""
+def read_step_log(spark: SparkSession, path: str, run_id: str | None = None,
+                  require: bool = False) -> DataFrame:
+    """Parse the log's non-blank lines; optionally keep one run.
+
+    ``require`` raises ``ValueError`` when no record remains (a small
+    ``isEmpty`` job), as a report from an empty log is meaningless.
+    """
     log = spark.read.schema(LOG_SCHEMA).json(path).where(F.col("step").isNotNull())
-    return log if run_id is None else log.where(F.col("run_id") == run_id)
+    if run_id is not None:
+        log = log.where(F.col("run_id") == run_id)
+    if require and log.isEmpty():
+        raise ValueError(f"No valid log entries found in {path}" +
+                         (f" for run {run_id}" if run_id else ""))
+    return log

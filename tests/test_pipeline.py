@@ -145,3 +145,11 @@ def test_written_report_document_shape(silver, spark):
     assert m.input_rows == silver["metrics"]["input_rows"]
     assert m.violations_by_constraint.asDict() == silver["metrics"]["violations"]
     assert m.quality_score_pct is not None
+
+
+def test_report_requires_log_entries(spark, tmp_path):
+    d = tmp_path / "log"
+    (d / "run_id=r1").mkdir(parents=True)
+    (d / "run_id=r1" / "part-0.txt").write_text("\n   \n")
+    with pytest.raises(ValueError, match="No valid log entries"):
+        read_step_log(spark, str(d), "r1", require=True)
