@@ -5,8 +5,8 @@ driver.  Every id set is de-duplicated first, so a left join never multiplies
 fact rows.  Its size is counted (one small job for all dimensions -- the count
 is also the reported ``valid_dim_values``); a set within ``broadcast_max_ids``
 is broadcast, so all foreign keys are checked in the fact's single scan stage.
-A larger set falls back to a shuffle join, where AQE's skew-join handling
-splits hot foreign-key values.
+For a larger set only the *counts* are computed, against the fact reduced to
+one row per distinct key value -- the fact itself is never shuffled for it.
 """
 
 from __future__ import annotations
@@ -62,13 +62,16 @@ def orphan_predicate(fk: str, hit_col: str) -> Column:
 
 def flag_fks(fact: DataFrame, fks: Sequence[tuple[str, DataFrame, str]],
              broadcast_max_ids: int = DEFAULT_BROADCAST_MAX_IDS,
-             persisted: list[DataFrame] | None = None
+             persisted: list[DataFrame] | None = None,
+             large: list[tuple[str, DataFrame]] | None = None
              ) -> tuple[DataFrame, list[tuple[str, str]], dict[str, int]]:
     """Add one hit column per foreign key.
 
     Returns ``(flagged, [(fk, hit_col)], {fk: valid_dim_values})``.  The
     persisted id sets are appended to ``persisted`` so a caller can release
-    them once the flagged frame has been consumed.
+    them once the flagged frame has been consumed.  With ``large`` given, keys
+    whose id set exceeds the broadcast bound are not joined but appended to it
+    as ``(fk, ids)``, to be counted with :func:`orphan_count_preaggregated`.
     """
     # The id sets are small and used twice (size check, then the join): persist
     # them so the dimension side is computed once.  Lost blocks are recomputed.
@@ -79,23 +82,60 @@ def flag_fks(fact: DataFrame, fks: Sequence[tuple[str, DataFrame, str]],
         persisted.extend(id_sets.values())
     hits = []
     for i, (fk, _, _) in enumerate(fks):
+        if large is not None and sizes[fk] > broadcast_max_ids:
+            large.append((fk, id_sets[fk]))
+            continue
         hit = f"_fk_hit_{i}"
         fact = join_ids(fact, fk, id_sets[fk], hit, sizes[fk], broadcast_max_ids)
         hits.append((fk, hit))
     return fact, hits, sizes
 
 
+def orphan_count_preaggregated(fact: DataFrame, fk: str, ids: DataFrame) -> DataFrame:
+    """One row ``orphaned_fact_rows`` for a large id set, without shuffling the fact.
+
+    The fact is first reduced to one row per distinct key value with its row
+    count (partial aggregation on every task, so hot values are pre-combined);
+    only those rows are joined with the id set.
+    """
+    per_value = (fact.where(q(fk).isNotNull())
+                 .groupBy(q(fk).alias("_value")).agg(F.count(F.lit(1)).alias("_rows")))
+    known = ids.select(F.col(ID).alias("_known"), F.lit(True).alias("_hit"))
+    joined = per_value.join(known, F.col("_value") == F.col("_known"), "left")
+    return joined.agg(F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_rows"))),
+                                 F.lit(0)).cast("long").alias("orphaned_fact_rows"))
+
+
 def fk_check(fact: DataFrame, fks: Sequence[tuple[str, DataFrame, str]],
              broadcast_max_ids: int = DEFAULT_BROADCAST_MAX_IDS) -> DataFrame:
     """Per foreign key: ``fk, valid_dim_values, orphaned_fact_rows``.
 
     A null key is never an orphan; an empty dimension orphans every non-null key.
-    A row counts once per foreign key it violates.
+    A row counts once per foreign key it violates.  Id sets within the bound are
+    broadcast and checked together in one scan; larger ones are checked
+    against the fact pre-aggregated per key value.
     """
     fact = fact.select(*[q(fk) for fk, _, _ in fks])
-    flagged, hits, sizes = flag_fks(fact, fks, broadcast_max_ids)
-    long = counts_long(flagged, [(fk, orphan_predicate(fk, hit)) for fk, hit in hits],
-                       "fk", "orphaned_fact_rows", total_col=None)
+    id_sets = {fk: distinct_ids(dim, id_col).persist(StorageLevel.MEMORY_AND_DISK)
+               for fk, dim, id_col in fks}
+    sizes = id_set_sizes(id_sets)
+    small = [(fk, dim, col) for fk, dim, col in fks if sizes[fk] <= broadcast_max_ids]
+    large = [fk for fk, _, _ in fks if sizes[fk] > broadcast_max_ids]
+    parts = []
+    if small:
+        flagged, hits = fact, []
+        for i, (fk, _, _) in enumerate(small):
+            hit = f"_fk_hit_{i}"
+            flagged = join_ids(flagged, fk, id_sets[fk], hit, sizes[fk], broadcast_max_ids)
+            hits.append((fk, hit))
+        parts.append(counts_long(flagged, [(fk, orphan_predicate(fk, hit)) for fk, hit in hits],
+                                 "fk", "orphaned_fact_rows", total_col=None))
+    for fk in large:
+        parts.append(orphan_count_preaggregated(fact, fk, id_sets[fk])
+                     .select(F.lit(fk).alias("fk"), "orphaned_fact_rows"))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
     valid = F.lit(None).cast("long")
     for fk, n in sizes.items():
         valid = F.when(F.col("fk") == fk, F.lit(n).cast("long")).otherwise(valid)

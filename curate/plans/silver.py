@@ -28,7 +28,8 @@ from curate.functions.casting import lenient_cast
 from curate.functions.text import csv_fields
 from curate.operators.cleaning import cast_failure_predicates, nullify, q, schema_matches, with_null
 from curate.operators.dedupe import COUNT, dedupe_grouped
-from curate.operators.integrity import DEFAULT_BROADCAST_MAX_IDS, flag_fks, orphan_predicate
+from curate.operators.integrity import (DEFAULT_BROADCAST_MAX_IDS, flag_fks,
+                                       orphan_count_preaggregated, orphan_predicate)
 from curate.operators.profile import key_stats
 from curate.operators.standardise import curate
 from curate.operators.summary import grouped_mean, share_of_group, summary_counts, top_k
@@ -169,6 +170,11 @@ def _sum0(v) -> int:
     return int(v or 0)
 
 
+def fk_inputs_of(spec: FactSpec, dims: dict[str, DataFrame]) -> list[tuple[str, DataFrame, str]]:
+    """``(fk, dimension, id column)`` for the spec's foreign keys whose dimension exists."""
+    return [(k.fk, dims[k.dim_table], k.dim_id) for k in spec.fks if k.dim_table in dims]
+
+
 @dataclass
 class FactPlan:
     """The single-pass fact query and the handles needed to read its metrics."""
@@ -183,6 +189,7 @@ class FactPlan:
     schema_exact: bool
     diverted: int | None
     persisted: list                # small cached id sets, released after the write
+    large_fks: list                # (fk, ids) above the broadcast bound: counted after the write
 
 
 def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
@@ -218,9 +225,10 @@ def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
     deduped = dedupe_grouped(typed, spec.key, carry=flag_cols)
 
     # -- foreign keys: size-checked broadcast joins, same stage ---------------
-    fk_inputs = [(k.fk, dims[k.dim_table], k.dim_id) for k in spec.fks if k.dim_table in dims]
+    fk_inputs = fk_inputs_of(spec, dims)
     persisted: list[DataFrame] = []
-    flagged, hits, sizes = flag_fks(deduped, fk_inputs, cfg.broadcast_max_ids, persisted)
+    large: list[tuple[str, DataFrame]] = []
+    flagged, hits, sizes = flag_fks(deduped, fk_inputs, cfg.broadcast_max_ids, persisted, large)
 
     # -- observed metrics on the clean (deduped, typed) rows ------------------
     obs_clean = Observation("clean")
@@ -238,7 +246,7 @@ def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
     rule_aggs = [F.count_if(r.violated()).alias(f"r{i}") for i, r in enumerate(spec.rules)]
     observed = curated.observe(obs_rules, F.count(F.lit(1)).alias("rows"), *rule_aggs)
     return FactPlan(observed, obs_clean, obs_rules, raw_cols, fails, hits, sizes, schema_exact,
-                    diverted, persisted)
+                    diverted, persisted, large)
 
 
 def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
@@ -258,6 +266,11 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
         saved_info = save_table(plan.observed, table, cfg.fmt,
                                 path=f"{cfg.tables_dir}/{spec.name}")
         m1, m2 = plan.obs_clean.get, plan.obs_rules.get
+        # Keys whose dimension is too large to broadcast: count orphans on the saved
+        # (columnar) table, pre-aggregated per key value -- the fact is never shuffled.
+        large_orphans = {fk: int(orphan_count_preaggregated(spark.table(table), fk, ids)
+                                 .first()["orphaned_fact_rows"])
+                         for fk, ids in plan.large_fks}
         for cached in plan.persisted:
             cached.unpersist()
     except Exception as e:
@@ -302,9 +315,10 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
         "total_rows": rows_after, "columns_with_nulls": len(missing),
         "missing_values": missing}))
 
-    fk_validation = {fk: {"valid_dim_values": sizes[fk],
-                          "orphaned_fact_rows": _sum0(m1[f"fk{i}"])}
-                     for i, (fk, _) in enumerate(hits)}
+    orphan_rows = {fk: _sum0(m1[f"fk{i}"]) for i, (fk, _) in enumerate(hits)}
+    orphan_rows.update(large_orphans)
+    fk_validation = {fk: {"valid_dim_values": sizes[fk], "orphaned_fact_rows": orphan_rows[fk]}
+                     for fk, _, _ in fk_inputs_of(spec, dims)}
     entries.append((STEP_FK, SUCCESS, {
         "total_orphaned_rows": sum(v["orphaned_fact_rows"] for v in fk_validation.values()),
         "fk_validation": fk_validation}))

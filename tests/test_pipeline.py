@@ -153,3 +153,17 @@ def test_report_requires_log_entries(spark, tmp_path):
     (d / "run_id=r1" / "part-0.txt").write_text("\n   \n")
     with pytest.raises(ValueError, match="No valid log entries"):
         read_step_log(spark, str(d), "r1", require=True)
+
+
+def test_large_dimension_orphans_counted_after_write(spark, tmp_path, silver):
+    from curate.plans.catalogue_io import write_csv
+    from curate.plans.fixtures import encounters_raw, encounters_spec, mapping_lines
+    from curate.plans.silver import run_silver
+    from conftest import SF_SMALL
+    raw = encounters_raw(spark, SF_SMALL)
+    write_csv(raw, str(tmp_path / "csv"))
+    spec = encounters_spec(raw)
+    cfg = SilverConfig(base_dir=str(tmp_path / "run"), spec=spec, broadcast_max_ids=0,
+                       database=f"t_{uuid.uuid4().hex[:8]}")
+    out = run_silver(spark, cfg, str(tmp_path / "csv"), mapping_lines(spark, SF_SMALL), spec=spec)
+    assert out["metrics"]["fk_validation"] == silver["metrics"]["fk_validation"]
