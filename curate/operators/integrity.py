@@ -144,14 +144,29 @@ def fk_check(fact: DataFrame, fks: Sequence[tuple[str, DataFrame, str]],
 
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, id_col: str,
             broadcast_max_ids: int = DEFAULT_BROADCAST_MAX_IDS) -> DataFrame:
-    """Fact rows whose non-null ``fk`` has no match in ``dim[id_col]`` (anti join)."""
+    """Fact rows whose non-null ``fk`` has no match in ``dim[id_col]``.
+
+    Within the bound: a broadcast anti join.  Above it, the orphan key *values*
+    are found first (the fact's distinct keys, pre-aggregated, anti-joined with
+    the ids); if those are few, a broadcast semi join returns the rows, so the
+    fact is not shuffled.  Only a huge orphan-value set falls back to a
+    shuffle anti join.
+    """
     ids = distinct_ids(dim, id_col).persist(StorageLevel.MEMORY_AND_DISK)
     size = id_set_sizes({fk: ids})[fk]
-    side = ids.select(F.col(ID).alias("_orphan_id"))
+    present = fact.where(q(fk).isNotNull())
     if size <= broadcast_max_ids:
-        side = F.broadcast(side)
-    return (fact.where(q(fk).isNotNull())
-            .join(side, q(fk) == F.col("_orphan_id"), "left_anti"))
+        side = F.broadcast(ids.select(F.col(ID).alias("_orphan_id")))
+        return present.join(side, q(fk) == F.col("_orphan_id"), "left_anti")
+    values = (present.select(q(fk).alias("_value")).distinct()
+              .join(ids, F.col("_value") == F.col(ID), "left_anti")
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    n_values = id_set_sizes({fk: values})[fk]
+    side = values.select(F.col("_value").alias("_orphan_value"))
+    if n_values <= broadcast_max_ids:
+        return present.join(F.broadcast(side), q(fk) == F.col("_orphan_value"),
+                            "left_semi")
+    return present.join(side, q(fk) == F.col("_orphan_value"), "left_semi")
 
 
 def missing_expected(spark: SparkSession, found: DataFrame, expected: Iterable[str],

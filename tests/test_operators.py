@@ -152,3 +152,16 @@ def test_empty_rule_and_metric_lists(spark):
     assert dedupe(empty, ["a"]).count() == 0
     st = dedupe_stats(empty, ["a"]).first()
     assert (st.rows_before, st.rows_after, st.duplicates_removed) == (0, 0, 0)
+
+
+def test_orphans_large_dimension_path(spark):
+    from curate.plans.catalogue import QUERIES
+    ref = sorted(map(tuple, QUERIES["fk_orphan_rows"](spark, SF_SMALL).collect()))
+    from curate.plans.catalogue import _clean, _dims
+    clean, _ = _clean(spark, SF_SMALL)
+    dim = _dims(spark, SF_SMALL)["dim_admission_source"]
+    # bound 3: the 5-id set counts as "large"; the single orphan value is then broadcast
+    got = orphans(clean, "admission_source_id", dim, "admission_source_id", broadcast_max_ids=3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+    assert sorted(map(tuple, got.collect())) == ref
