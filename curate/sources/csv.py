@@ -23,7 +23,10 @@ def read_permissive_csv(spark: SparkSession, path: str, names: Sequence[str] | N
     Malformed rows (too many or too few fields, broken quoting) keep their
     parsed prefix and carry the raw line in ``corrupt_col``.  Parser-level
     column pruning is disabled so the corrupt flag is right however few
-    columns a query reads.  With ``names=None`` the header gives the names.
+    columns a query reads.  With ``names=None`` the (first file's) header gives
+    the names, and every file's header is validated against them
+    (``enforceSchema=false``): a file with other columns or another column
+    order fails the read instead of being loaded shifted.
     """
     if names is None:
         names = header_names(spark, path, **options)
@@ -34,6 +37,7 @@ def read_permissive_csv(spark: SparkSession, path: str, names: Sequence[str] | N
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", corrupt_col)
             .option("columnPruning", False)
+            .option("enforceSchema", False)
             .options(**options)
             .csv(path))
 

@@ -43,7 +43,7 @@ def raw_stream(spark: SparkSession, source_dir: str, names: list[str],
                           + [T.StructField(corrupt_col, T.StringType(), True)])
     reader = (spark.readStream.schema(schema).option("header", True)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
-              .option("columnPruning", False))
+              .option("columnPruning", False).option("enforceSchema", False))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(source_dir)

@@ -137,3 +137,13 @@ def test_route_first_keyword_wins_and_case_insensitive(spark):
         "file string, section long, section_no long, header string")
     got = {r.section_no: r.dim for r in route_sections(heads, DIMENSIONS).collect()}
     assert got == {0: "dim_admission_type", 1: "dim_admission_source", 2: None}
+
+
+def test_permissive_csv_rejects_files_with_other_headers(spark, tmp_path):
+    import pytest
+    d = tmp_path / "two"
+    d.mkdir()
+    (d / "f1.csv").write_text("a,b\n1,2\n")
+    (d / "f2.csv").write_text("b,a\n9,8\n")
+    with pytest.raises(Exception):
+        read_permissive_csv(spark, str(d), ["a", "b"]).collect()
