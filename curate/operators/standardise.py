@@ -35,8 +35,3 @@ def curate(df: DataFrame, spec: FactSpec) -> DataFrame:
     exprs = standardised_exprs(df, spec)
     derived = [d.name for d in spec.derived if d.name in exprs and d.name not in df.columns]
     return df.select([exprs[c].alias(c) for c in df.columns + derived])
-
-
-def standardised_columns(df: DataFrame, spec: FactSpec) -> list[str]:
-    """Columns whose values the transform changes beyond trimming."""
-    return [s.column for s in spec.standardise if s.column in df.columns]

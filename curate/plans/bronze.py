@@ -82,9 +82,9 @@ def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None
                 for r in saved.orderBy("path", "member_path").collect()]
         if missing:
             print(f"WARNING: missing expected files: {missing}")
-    report = build_report(read_step_log(spark, cfg.log_dir, log.run_id, require=True),
-                          cfg.pipeline_name, "bronze", BRONZE_METRICS, score=False)
-    write_report(report_document(report, BRONZE_METRICS), cfg.report_path)
+    report = bronze_report_or_none(spark, cfg, log.run_id)
+    if report is not None:
+        write_report(report_document(report, BRONZE_METRICS), cfg.report_path)
     return {"run_id": log.run_id, "log": log, "report": report, "manifest": saved,
             "missing": missing}
 
@@ -92,8 +92,8 @@ def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None
 def bronze_report_or_none(spark: SparkSession, cfg: BronzeConfig, run_id: str) -> DataFrame | None:
     """The bronze report; a failure is printed and skipped (the silver one is not)."""
     try:
-        return build_report(read_step_log(spark, cfg.log_dir, run_id), cfg.pipeline_name,
-                            "bronze", BRONZE_METRICS, score=False)
+        return build_report(read_step_log(spark, cfg.log_dir, run_id, require=True),
+                            cfg.pipeline_name, "bronze", BRONZE_METRICS, score=False)
     except Exception as e:  # report generation for bronze is best effort
         print(f"[ERROR] Bronze report generation failed: {e}")
         return None

@@ -194,12 +194,3 @@ clean AS ({dedupe_sql}),
 curated0 AS (SELECT {", ".join(c0)} FROM clean),
 curated AS (SELECT {final} FROM (SELECT {", ".join(c1)} FROM curated0))
 """
-
-
-def union_counts(rel: str, items: list[tuple[str, str]], name_col: str, value_col: str,
-                 extra: str = "") -> str:
-    """One SELECT per (label, predicate) with ``count_if`` -- deliberately naive."""
-    parts = [f"SELECT {lit(label)} AS {ident(name_col)}, "
-             f"CAST(count_if({pred}) AS BIGINT) AS {ident(value_col)}{extra} FROM {rel}"
-             for label, pred in items]
-    return "\nUNION ALL\n".join(parts)

@@ -50,7 +50,8 @@ def main(argv: list[str]) -> int:
         print(f"[{name}]")
         summary.show(20, truncate=False)                  # bounded preview (SRT4)
     for layer in ("bronze", "silver"):
-        row = out[layer]["report"].first().asDict(recursive=True)
+        report = out[layer]["report"]
+        row = report.first().asDict(recursive=True) if report is not None else None
         print(json.dumps({layer: row}, default=str))
     return 0
 

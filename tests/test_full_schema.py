@@ -5,7 +5,7 @@ import uuid
 
 from curate.plans.silver import SilverConfig, run_silver
 from curate.sources.literal import literal_rows
-from curate.spec import ENCOUNTER_COLUMNS, ENCOUNTERS, MEDICATIONS
+from curate.spec import ENCOUNTER_COLUMNS, MEDICATIONS
 
 
 def _row(i, **over):
