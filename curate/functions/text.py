@@ -57,8 +57,9 @@ def contains_ci(c: Column | str, needle: str) -> Column:
 def csv_fields(c: Column | str) -> Column:
     """Split one CSV line into an ``array<string>`` of fields.
 
-    Honours double-quoted fields (embedded commas, doubled quotes); an empty
-    unquoted field becomes null as in Spark's CSV reader.
+    Honours double-quoted fields (embedded commas); like Spark's CSV reader
+    with default options, doubled quotes inside a quoted field are kept as
+    they are, and an empty field, quoted or not, becomes null.
     """
     col = _as_col(c)
     # Every field is matched together with the comma before it (one is prepended),
@@ -68,8 +69,9 @@ def csv_fields(c: Column | str) -> Column:
     def unquote(x: Column) -> Column:
         quoted = x.startswith('"') & x.endswith('"') & (F.length(x) >= 2)
         inner = F.regexp_replace(F.substring(x, 2, 1 << 30), r'"$', "")
-        return (F.when(quoted, F.regexp_replace(inner, '""', '"'))
-                .when(x == "", F.lit(None).cast("string"))
-                .otherwise(x))
+        # Spark's reader escapes with a backslash, so doubled quotes stay as they are.
+        value = F.when(quoted, inner).otherwise(x)
+        # empty fields, quoted or not, read as null (Spark's CSV default nullValue "")
+        return F.when(value == "", F.lit(None).cast("string")).otherwise(value)
 
     return F.transform(raw, unquote)

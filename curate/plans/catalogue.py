@@ -25,7 +25,8 @@ from curate.operators.standardise import curate
 from curate.operators.summary import (grouped_mean, share_of_group, summary_counts, top_k)
 from curate.plans import oracle as O
 from curate.plans.fixtures import encounters_raw, encounters_spec, mapping_lines
-from curate.sources.lines import route_sections, section_headers, section_to_dim, split_sections
+from curate.sources.lines import (header_widths, route_sections, section_headers,
+                                  section_to_dim, split_sections)
 from curate.sources.tables import load
 from curate.spec import DIMENSIONS, ENCOUNTERS, FactSpec
 
@@ -76,9 +77,12 @@ def _dims(spark, sf_dir) -> dict[str, DataFrame]:
     sections = split_sections(mapping_lines(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     routed = route_sections(section_headers(sections), DIMENSIONS).persist(
         StorageLevel.MEMORY_AND_DISK)
-    per_dim = {r["dim"]: r["n"] for r in routed.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    return {d.table: section_to_dim(sections, routed, d, n_sections=per_dim.get(d.table, 0))
-            for d in DIMENSIONS}
+    widths = header_widths(routed)
+    out = {}
+    for d in DIMENSIONS:
+        n, width = widths.get(d.table, (0, 0))
+        out[d.table] = section_to_dim(sections, routed, d, n_sections=n, width=width)
+    return out
 
 
 _SPEC = ENCOUNTERS.restrict(O.RAW_COLUMNS)

@@ -37,8 +37,8 @@ from curate.plans.report import SILVER_METRICS, build_report, report_document
 from curate.plans.sinks import ensure_db, save_table, write_report
 from curate.plans.steplog import FAILED, SUCCESS, StepLog
 from curate.sources.csv import read_permissive_csv, write_bad_records
-from curate.sources.lines import (route_sections, section_headers, section_to_dim,
-                                  split_sections)
+from curate.sources.lines import (header_widths, route_sections, section_headers,
+                                  section_to_dim, split_sections)
 from curate.sources.steplog import read_step_log
 from curate.sources.tables import spread
 from curate.spec import DIMENSIONS, ENCOUNTERS, DimSpec, FactSpec
@@ -109,14 +109,15 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
         routed = route_sections(section_headers(sections), cfg.dims).persist(
             StorageLevel.MEMORY_AND_DISK)
         per_dim = _sections_per_dim(routed, cfg.dims)      # at most one row per dimension
+        widths = header_widths(routed)
         present = {d for d in per_dim if d is not None}
         dims = {}
         for d in cfg.dims:
             if d.table not in present:
                 continue
             name = cfg.table(d.table)
-            n = per_dim[d.table]
-            save_table(section_to_dim(sections, routed, d, n_sections=n), name, cfg.fmt,
+            n, width = widths[d.table]
+            save_table(section_to_dim(sections, routed, d, n_sections=n, width=width), name, cfg.fmt,
                        path=f"{cfg.tables_dir}/{d.table}")
             dims[d.table] = spark.table(name)
         validation = dim_key_stats(dims, {d.table: d.id_col for d in cfg.dims})

@@ -103,22 +103,33 @@ def route_sections(headers: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     return headers.withColumn("dim", dim)
 
 
+def header_widths(routed: DataFrame) -> dict[str | None, tuple[int, int]]:
+    """``{dim: (sections, widest header)}`` -- one small row per dimension."""
+    rows = routed.groupBy("dim").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.max(F.size(csv_fields(F.col("header")))), F.lit(0)).alias("w")).collect()
+    return {r["dim"]: (int(r["n"]), int(r["w"])) for r in rows}
+
+
 def section_to_dim(sections: DataFrame, routed: DataFrame, dim: DimSpec,
                    id_type: T.DataType = T.IntegerType(),
-                   n_sections: int | None = None) -> DataFrame:
+                   n_sections: int | None = None, width: int | None = None) -> DataFrame:
     """``(dim.id_col, dim.out_name)`` rows of the sections routed to ``dim``.
 
-    Lines after the header are CSV records; the id and name fields are found
-    by header name (case-insensitive).  Ids are cast leniently; rows without
-    an id are dropped (FLT1).  ``n_sections`` (sections routed to ``dim``) is
-    counted when not given; it decides whether the header rows are broadcast.
+    Lines after the header are parsed by Spark's CSV parser (``from_csv``)
+    with as many string fields as the header has, as a header-based CSV read
+    would; the id and name fields are then found by header name
+    (case-insensitive).  Ids are cast leniently; rows without an id are
+    dropped (FLT1).  ``n_sections`` / ``width`` (sections routed to ``dim``,
+    widest header) are computed when not given; the count decides whether
+    the header rows are broadcast.
     """
     heads = routed.where(F.col("dim") == dim.table).select(
         "file", "section", "header", "header_block", "header_idx")
+    if n_sections is None or width is None:
+        n_sections, width = header_widths(routed).get(dim.table, (0, 0))
     # One row per section: broadcast it (size checked), so a section holding
     # most of the lines is never shuffled into one task.
-    if n_sections is None:
-        n_sections = heads.count()
     if n_sections <= BROADCAST_MAX_SECTIONS:
         heads = F.broadcast(heads)
     body = sections.join(heads, ["file", "section"]).where(
@@ -127,7 +138,9 @@ def section_to_dim(sections: DataFrame, routed: DataFrame, dim: DimSpec,
     names = F.transform(csv_fields(F.col("header")), lambda x: F.lower(stripped(x)))
     id_pos = F.array_position(names, dim.id_col.lower())
     name_pos = F.array_position(names, dim.name_col.lower())
-    fields = csv_fields(F.col("line"))
+    width = max(width, 1)
+    parsed = F.from_csv(F.col("line"), ", ".join(f"_c{i} STRING" for i in range(width)))
+    fields = F.array(*[parsed[f"_c{i}"] for i in range(width)])
     pick = lambda p: F.when(p > 0, F.try_element_at(fields, p.cast("int")))
     out = body.select(
         lenient_cast(pick(id_pos), id_type).alias(dim.id_col),

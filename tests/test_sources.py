@@ -182,3 +182,29 @@ def test_sectioning_property(spark, tmp_path_factory, lines):
     want = sorted((i, len(sec), next((x for x in sec if x.strip()), None))
                   for i, sec in enumerate(expected))
     assert got == want
+
+
+_CELL = st.one_of(st.sampled_from(["", " 7", "12", "x", "3.5"]),
+                  st.text(st.sampled_from(list('ab ,"')), max_size=6).map(lambda t: f'"{t}"'),
+                  st.text(st.sampled_from(list("abc -")), max_size=6))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(_CELL, min_size=1, max_size=4), min_size=1, max_size=30))
+def test_section_to_dim_matches_spark_csv_read(spark, tmp_path_factory, rows):
+    from pyspark.sql import functions as F
+    from curate.functions.casting import lenient_cast
+    from hypothesis import assume
+    body = [",".join(r) for r in rows]
+    assume(all(b.strip() != "," for b in body))       # a separator line would start a new section
+    d = tmp_path_factory.mktemp("dim")
+    (d / "m.csv").write_text("admission_type_id,description\n" + "\n".join(body) + "\n")
+    (d / "sec.csv").write_text("admission_type_id,description\n" + "\n".join(body) + "\n")
+    sections = split_sections(read_lines(spark, str(d / "m.csv")))
+    routed = route_sections(section_headers(sections), DIMENSIONS)
+    got = sorted(map(tuple, section_to_dim(sections, routed, DIMENSIONS[0]).collect()), key=repr)
+    ref = (spark.read.option("header", True).csv(str(d / "sec.csv"))
+           .select(lenient_cast("admission_type_id", "int").alias("id"), F.col("description"))
+           .where("id IS NOT NULL"))
+    want = sorted(map(tuple, ref.collect()), key=repr)
+    assert got == want
