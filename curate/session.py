@@ -36,8 +36,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a private folder created
-    and registered.
+    Only a local-mode session without one (tests) gets a private folder; on a
+    cluster a missing setting is an error rather than a machine-local folder.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
@@ -45,6 +45,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not sc.master.startswith("local"):
+        # A machine-local folder is invisible to executors on other hosts.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
+                           "before running file-writing flows on a cluster")
     local = tempfile.mkdtemp(prefix="curate-ckpt-")
     sc.setCheckpointDir(local)
     return local
