@@ -167,3 +167,19 @@ def test_large_dimension_orphans_counted_after_write(spark, tmp_path, silver):
                        database=f"t_{uuid.uuid4().hex[:8]}")
     out = run_silver(spark, cfg, str(tmp_path / "csv"), mapping_lines(spark, SF_SMALL), spec=spec)
     assert out["metrics"]["fk_validation"] == silver["metrics"]["fk_validation"]
+
+
+def test_rerun_into_same_folder_and_database(spark, tmp_path):
+    from curate.plans.catalogue_io import write_encounter_archives
+    from curate.plans.fixtures import encounters_raw, encounters_spec
+    from curate.plans.run import run_all
+    from conftest import SF_SMALL
+    write_encounter_archives(spark, SF_SMALL, str(tmp_path / "zips"))
+    spec = encounters_spec(encounters_raw(spark, SF_SMALL))
+    db = f"t_{uuid.uuid4().hex[:8]}"
+    first = run_all(spark, str(tmp_path / "run"), str(tmp_path / "zips"), spec=spec, database=db)
+    second = run_all(spark, str(tmp_path / "run"), str(tmp_path / "zips"), spec=spec, database=db)
+    assert first["silver"]["metrics"] == second["silver"]["metrics"]
+    assert second["silver"]["fact"].count() == first["silver"]["metrics"]["saved"]["rows_saved"]
+    runs = read_step_log(spark, str(tmp_path / "run" / "silver" / "_logs")).select("run_id").distinct()
+    assert runs.count() == 2                       # history kept, runs told apart by run_id
