@@ -1,5 +1,6 @@
-"""Run the single-pass fact write twice -- undisturbed, and with every task of the
-write's result stage failing once -- and print both metric sets as JSON.
+"""Run the single-pass fact write three times -- undisturbed, with every task of
+the write's result stage failing once, and with every scan (map) task before the
+dedupe shuffle failing once -- and print the metric sets as JSON.
 
 Executed in its own process by test_retries.py (local mode retries tasks only
 with a ``local[N,maxFailures]`` master).
@@ -23,6 +24,7 @@ from curate.plans.fixtures import encounters_raw, encounters_spec, mapping_lines
 from curate.plans.silver import SilverConfig, build_dims, fact_plan  # noqa: E402
 from curate.plans.sinks import ensure_db, save_table  # noqa: E402
 from curate.plans.steplog import StepLog  # noqa: E402
+from curate.sources.csv import read_permissive_csv  # noqa: E402
 
 
 MARKERS = tempfile.mkdtemp(prefix="curate-retry-markers-")
@@ -47,9 +49,12 @@ def run(spark, sf_dir, base, inject):
     spec = encounters_spec(raw)
     cfg = SilverConfig(base_dir=base, spec=spec, database=f"r_{uuid.uuid4().hex[:8]}")
     dims = build_dims(spark, mapping_lines(spark, sf_dir), cfg, StepLog(spark, cfg.log_dir))
-    plan = fact_plan(spark, f"{base}/csv", cfg, dims, spec)
+    source = read_permissive_csv(spark, f"{base}/csv")
+    if inject == "map":      # scan stage, before the dedupe shuffle: every map task fails once
+        source = source.where(fail_first_attempt(F.lit(1)))
+    plan = fact_plan(spark, source, cfg, dims, spec)
     out = plan.observed
-    if inject:       # same stage as the observations: every result task fails once
+    if inject == "result":   # same stage as the observations: every result task fails once
         out = out.where(fail_first_attempt(F.lit(1)))
     ensure_db(spark, cfg.database, f"{base}/{cfg.database}.db")
     saved = save_table(out, f"{cfg.database}.f", path=f"{base}/f")
@@ -65,7 +70,10 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("OFF")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="curate-retry-"))
     sf = sys.argv[1]
-    a = run(spark, sf, tempfile.mkdtemp(prefix="curate-retry-a-"), inject=False)
-    b = run(spark, sf, tempfile.mkdtemp(prefix="curate-retry-b-"), inject=True)
-    print(json.dumps({"plain": a, "retried": b, "failed_attempts": len(os.listdir(MARKERS))},
-                     default=int))
+    a = run(spark, sf, tempfile.mkdtemp(prefix="curate-retry-a-"), inject=None)
+    b = run(spark, sf, tempfile.mkdtemp(prefix="curate-retry-b-"), inject="result")
+    n_result = len(os.listdir(MARKERS))
+    c = run(spark, sf, tempfile.mkdtemp(prefix="curate-retry-c-"), inject="map")
+    print(json.dumps({"plain": a, "retried": b, "map_retried": c,
+                      "failed_attempts": n_result,
+                      "failed_map_attempts": len(os.listdir(MARKERS)) - n_result}, default=int))

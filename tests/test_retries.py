@@ -15,5 +15,6 @@ def test_metrics_exact_under_task_retries():
     assert r.returncode == 0, r.stderr[-2000:]
     out = json.loads(r.stdout.strip().splitlines()[-1])
     assert out["failed_attempts"] > 0              # tasks really failed and were retried
-    assert out["plain"] == out["retried"]
+    assert out["failed_map_attempts"] > 0
+    assert out["plain"] == out["retried"] == out["map_retried"]
     assert out["plain"]["rows_saved"] > 0
