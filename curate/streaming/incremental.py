@@ -5,11 +5,11 @@ micro-batch with the same Column expressions as the batch flow: corrupt-row
 capture, sentinel -> null, lenient hard-schema cast, standardisation and
 derived columns.  Each batch's quality metrics (rows, corrupt rows, cast
 failures, nulls, rule violations) are collected by an ``Observation`` on the
-batch write and appended to the step log.
+batch write and stored as that epoch's log record.
 
 Exactly-once output: ``foreachBatch`` may replay an epoch after a failure, so
-each epoch is written with ``overwrite`` to its own ``epoch=<id>`` folder --
-a replay replaces, never duplicates.  Progress lives in the checkpoint
+each epoch's rows and its metrics record are written with ``overwrite`` to
+their own ``epoch=<id>`` folders -- a replay replaces, never duplicates.  Progress lives in the checkpoint
 folder (shared storage), so a restarted query resumes where it stopped.
 
 De-duplication is not applied across batches here: the deterministic choice
@@ -21,6 +21,8 @@ entry per key).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +31,8 @@ from pyspark.sql.streaming import StreamingQuery
 from curate.functions.casting import lenient_cast
 from curate.operators.cleaning import cast_failure_predicates, nullify, q
 from curate.operators.standardise import curate
-from curate.plans.steplog import SUCCESS, StepLog
+from curate.plans.steplog import SUCCESS, utc_iso
+from curate.sources.literal import literal_rows
 from curate.spec import FactSpec
 
 STEP_BATCH = "silver_stream__micro_batch"
@@ -63,8 +66,12 @@ def curated_stream(raw: DataFrame, spec: FactSpec, corrupt_col: str = "_corrupt_
     return curate(typed, spec)        # flag columns pass through untouched
 
 
-def batch_writer(spec: FactSpec, out_dir: str, log: StepLog, fmt: str = "parquet"):
-    """``foreachBatch`` function: observe metrics, write the epoch idempotently, log."""
+def batch_writer(spec: FactSpec, out_dir: str, log_dir: str, fmt: str = "parquet"):
+    """``foreachBatch`` function: observe metrics, write the epoch and its log record.
+
+    Both go to ``epoch=<id>`` folders with ``overwrite``: a replayed epoch
+    replaces its rows and its metrics record instead of adding to them.
+    """
     fails = cast_failure_predicates(spec.schema)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
@@ -76,7 +83,8 @@ def batch_writer(spec: FactSpec, out_dir: str, log: StepLog, fmt: str = "parquet
         (batch.observe(obs, *aggs).select(*[q(c) for c in spec.curated_columns()])
          .write.mode("overwrite").format(fmt).save(f"{out_dir}/epoch={epoch_id}"))
         m = obs.get
-        log.write(STEP_BATCH, SUCCESS, {
+        record = {"seq": int(epoch_id), "step": STEP_BATCH, "status": SUCCESS,
+                  "timestamp_utc": utc_iso(), "payload": {
             "epoch": epoch_id, "rows": int(m["rows"]), "corrupt_rows": int(m["corrupt_rows"]),
             "casting_failures_by_column": {f.name: int(m[f"cf{i}"])
                                            for i, (f, _) in enumerate(fails) if m[f"cf{i}"]},
@@ -84,24 +92,36 @@ def batch_writer(spec: FactSpec, out_dir: str, log: StepLog, fmt: str = "parquet
                                if m[f"null{i}"]},
             "violations_by_constraint": {r.name: int(m[f"r{i}"]) for i, r in enumerate(spec.rules)
                                          if r.report_zero or m[f"r{i}"]},
-        })
+        }}
+        (literal_rows(batch.sparkSession, [(json.dumps(record),)], "value string")
+         .write.mode("overwrite").text(f"{log_dir}/epoch={epoch_id}"))
     return write
 
 
 def start_curation(spark: SparkSession, source_dir: str, spec: FactSpec, out_dir: str,
                    checkpoint_dir: str, log_dir: str, names: list[str] | None = None,
                    available_now: bool = True, dedupe: str | None = None,
-                   max_files_per_trigger: int | None = None) -> tuple[StreamingQuery, StepLog]:
-    """Start the incremental curation query (``availableNow`` drains what is there, then stops)."""
-    log = StepLog(spark, log_dir)
+                   max_files_per_trigger: int | None = None) -> tuple[StreamingQuery, str]:
+    """Start the incremental curation query (``availableNow`` drains what is there, then stops).
+
+    Returns the query and the folder of its per-epoch metric records
+    (read them with :func:`read_batch_log`).
+    """
     raw = raw_stream(spark, source_dir, names or spec.columns,
                      max_files_per_trigger=max_files_per_trigger)
     stream = curated_stream(raw, spec, dedupe=dedupe)
-    writer = (stream.writeStream.foreachBatch(batch_writer(spec, out_dir, log))
+    writer = (stream.writeStream.foreachBatch(batch_writer(spec, out_dir, log_dir))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="30 seconds")
-    return writer.start(), log
+    return writer.start(), log_dir
+
+
+def read_batch_log(spark: SparkSession, log_dir: str) -> DataFrame:
+    """One metrics record per committed or replayed epoch (``epoch`` is the folder)."""
+    return (spark.read.schema("seq long, step string, status string, timestamp_utc string, "
+                              "payload string, epoch long").json(log_dir)
+            .where(F.col("step").isNotNull()))
 
 
 def read_curated(spark: SparkSession, out_dir: str) -> DataFrame:
