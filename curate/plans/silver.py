@@ -37,8 +37,8 @@ from curate.plans.report import SILVER_METRICS, build_report, report_document
 from curate.plans.sinks import ensure_db, save_table, write_report
 from curate.plans.steplog import FAILED, SUCCESS, StepLog
 from curate.sources.csv import read_permissive_csv, write_bad_records
-from curate.sources.lines import (header_widths, route_sections, section_headers,
-                                  section_to_dim, split_sections)
+from curate.sources.lines import (route_sections, section_headers, section_to_dim,
+                                  split_sections)
 from curate.sources.steplog import read_step_log
 from curate.sources.tables import spread
 from curate.spec import DIMENSIONS, ENCOUNTERS, DimSpec, FactSpec
@@ -109,26 +109,27 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
         routed = route_sections(section_headers(sections), cfg.dims).persist(
             StorageLevel.MEMORY_AND_DISK)
         per_dim = _sections_per_dim(routed, cfg.dims)      # at most one row per dimension
-        widths = header_widths(routed)
         present = {d for d in per_dim if d is not None}
         dims = {}
         for d in cfg.dims:
             if d.table not in present:
                 continue
             name = cfg.table(d.table)
-            n, width = widths[d.table]
+            n, width = per_dim[d.table]
             save_table(section_to_dim(sections, routed, d, n_sections=n, width=width), name, cfg.fmt,
                        path=f"{cfg.tables_dir}/{d.table}")
             dims[d.table] = spark.table(name)
         validation = dim_key_stats(dims, {d.table: d.id_col for d in cfg.dims})
-        payload.update(sections_parsed=sum(per_dim.values()), validation=validation)
+        payload.update(sections_parsed=sum(n for n, _ in per_dim.values()),
+                       validation=validation)
         routed.unpersist()
         sections.unpersist()
     return dims
 
 
-def _sections_per_dim(routed: DataFrame, dims: tuple[DimSpec, ...]) -> dict[str | None, int]:
-    """Sections per routed dimension (``None``: unrouted), checked on the cluster.
+def _sections_per_dim(routed: DataFrame, dims: tuple[DimSpec, ...]
+                      ) -> dict[str | None, tuple[int, int]]:
+    """``{dim: (sections, widest header)}`` (``None``: unrouted), checked on the cluster.
 
     A section routed to a dimension must name its id and name columns, as a
     column lookup by name would otherwise fail; the first offending header is
@@ -142,12 +143,13 @@ def _sections_per_dim(routed: DataFrame, dims: tuple[DimSpec, ...]) -> dict[str
         ok = F.when(F.col("dim") == d.table, has).otherwise(ok)
     rows = routed.groupBy("dim").agg(
         F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.max(F.size(csv_fields(F.col("header")))), F.lit(0)).alias("w"),
         F.first(F.when(~ok, F.col("header")), ignorenulls=True).alias("bad_header")).collect()
     for r in rows:
         if r["bad_header"] is not None:
             raise ValueError(f"sections routed to {r['dim']} must name the dimension's id and "
                              f"name columns; header: {r['bad_header']!r}")
-    return {r["dim"]: int(r["n"]) for r in rows}
+    return {r["dim"]: (int(r["n"]), int(r["w"])) for r in rows}
 
 
 def dim_key_stats(dims: dict[str, DataFrame], id_cols: dict[str, str]) -> dict[str, dict]:
