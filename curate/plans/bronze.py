@@ -11,6 +11,7 @@ member list itself.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,6 +24,8 @@ from curate.plans.steplog import StepLog
 from curate.sources.archive import extract_members
 from curate.sources.steplog import read_step_log
 
+_log = logging.getLogger("curate.bronze")
+
 # The bronze step name and the expected archive members.
 STEP_EXTRACT = "diabetes_zip_extract"
 EXPECTED_FILES = ("diabetic_data.csv", "IDS_mapping.csv")
@@ -81,7 +84,7 @@ def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None
                  "size_bytes_in_zip": int(r["size_bytes"]), "type": r["type"]}
                 for r in saved.orderBy("path", "member_path").collect()]
         if missing:
-            print(f"WARNING: missing expected files: {missing}")
+            _log.warning("missing expected files: %s", missing)
     report = bronze_report_or_none(spark, cfg, log.run_id)
     if report is not None:
         write_report(report_document(report, BRONZE_METRICS), cfg.report_path)
@@ -95,5 +98,5 @@ def bronze_report_or_none(spark: SparkSession, cfg: BronzeConfig, run_id: str) -
         return build_report(read_step_log(spark, cfg.log_dir, run_id, require=True),
                             cfg.pipeline_name, "bronze", BRONZE_METRICS, score=False)
     except Exception as e:  # report generation for bronze is best effort
-        print(f"[ERROR] Bronze report generation failed: {e}")
+        _log.error("bronze report generation failed: %s", e)
         return None
