@@ -16,6 +16,6 @@ __all__ = [
     "active_violations", "apply_schema", "cast_profile", "check_rules", "cols_of", "curate",
     "dedupe", "dedupe_grouped", "dedupe_stats", "fk_check", "flag_fks", "grouped_mean",
     "grouped_stats", "ingest_metrics", "key_stats", "missing_expected", "null_profile",
-    "nullify", "orphan_count_preaggregated", "orphans", "schema_matches", "share_of_group", "summary_counts", "top_k",
-    "top_null_columns", "with_null",
+    "nullify", "orphan_count_preaggregated", "orphans", "schema_matches", "share_of_group",
+    "summary_counts", "top_k", "top_null_columns", "with_null",
 ]
