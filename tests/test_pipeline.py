@@ -183,3 +183,26 @@ def test_rerun_into_same_folder_and_database(spark, tmp_path):
     assert second["silver"]["fact"].count() == first["silver"]["metrics"]["saved"]["rows_saved"]
     runs = read_step_log(spark, str(tmp_path / "run" / "silver" / "_logs")).select("run_id").distinct()
     assert runs.count() == 2                       # history kept, runs told apart by run_id
+
+
+def test_command_line_run(spark, tmp_path):
+    import subprocess
+    import sys
+    from curate.plans.catalogue_io import write_encounter_archives
+    from conftest import SF_SMALL
+    write_encounter_archives(spark, SF_SMALL, str(tmp_path / "zips"))
+    repo = __import__("os").path.dirname(__import__("os").path.dirname(__file__))
+    r = subprocess.run([sys.executable, "-m", "curate.plans.run", str(tmp_path / "zips"),
+                        str(tmp_path / "out"), f"cli_{uuid.uuid4().hex[:6]}", "--restrict"],
+                       cwd=repo, capture_output=True, text=True, timeout=900)
+    assert r.returncode == 0, r.stderr[-1500:]
+    reports = [json.loads(line) for line in r.stdout.splitlines() if line.startswith("{")]
+    silver = next(x["silver"] for x in reports if "silver" in x)
+    bronze = next(x["bronze"] for x in reports if "bronze" in x)
+    assert bronze["files_extracted"] >= 2 and silver["success_steps"] == 10
+    assert silver["input_rows"] == encounters_rows(spark, SF_SMALL)
+
+
+def encounters_rows(spark, sf_dir):
+    from curate.plans.fixtures import encounters_raw
+    return encounters_raw(spark, sf_dir).count()
