@@ -14,6 +14,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from curate.operators.integrity import missing_expected
 from curate.plans.report import BRONZE_METRICS, build_report, report_document
 from curate.plans.sinks import write_report
 from curate.plans.steplog import StepLog
-from curate.sources.archive import extract_members
+from curate.sources.archive import expand_archives, extract_members
 from curate.sources.steplog import read_step_log
 
 _log = logging.getLogger("curate.bronze")
@@ -38,6 +39,10 @@ class BronzeConfig:
     archive_path: str
     expected: tuple[str, ...] = EXPECTED_FILES
     pipeline_name: str = "Bronze Layer ETL"
+    # True: tasks open archives and write members through pyarrow.fs (bounded memory).
+    # False: archive bytes and member text go through Spark (binaryFile, text writer) --
+    # for file systems pyarrow cannot open; a member must then fit one Spark value (2 GB).
+    stream: bool = True
 
     @property
     def extract_dir(self) -> str:
@@ -67,9 +72,15 @@ def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None
         # One job: tasks stream each expected member to its file and emit a
         # manifest row, which is written as the manifest table.
         obs = Observation("extract")
-        (extract_members(spark, cfg.archive_path, cfg.extract_dir, cfg.expected)
-         .observe(obs, F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
+        cached: list[DataFrame] = []
+        if cfg.stream:
+            manifest = extract_members(spark, cfg.archive_path, cfg.extract_dir, cfg.expected)
+        else:
+            manifest = _extract_through_spark(spark, cfg, cached)
+        (manifest.observe(obs, F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
          .write.mode("overwrite").parquet(cfg.manifest_dir))
+        for df in cached:
+            df.unpersist()
         saved = spark.read.parquet(cfg.manifest_dir)
         counts = saved.agg(F.count(F.lit(1)).alias("n"),
                            F.count_distinct("path").alias("archives")).first()
@@ -92,6 +103,23 @@ def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None
             "missing": missing}
 
 
+def _extract_through_spark(spark: SparkSession, cfg: BronzeConfig,
+                           cached: list[DataFrame]) -> DataFrame:
+    """Members via ``binaryFile`` content, text written by Spark partitioned by name.
+
+    The expanded members are persisted for the two writes (text, manifest) and
+    appended to ``cached`` for release afterwards.
+    """
+    members = expand_archives(spark, cfg.archive_path, cfg.expected, stream=False).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    cached.append(members)
+    (members.select("file_name", "text").write.mode("overwrite")
+     .partitionBy("file_name").text(cfg.extract_dir))
+    target = F.concat(F.lit(f"{cfg.extract_dir}/file_name="), F.col("file_name"))
+    return members.select("path", "member_path", "file_name", "size_bytes", "type",
+                          target.alias("target_path"))
+
+
 def bronze_report_or_none(spark: SparkSession, cfg: BronzeConfig, run_id: str) -> DataFrame | None:
     """The bronze report; a failure is printed and skipped (the silver one is not)."""
     try:

@@ -67,7 +67,8 @@ def test_step_context_manager(spark, tmp_path):
     assert rows == [(1, "ok", "SUCCESS"), (2, "bad", "FAILED")]
 
 
-def test_bronze_extracts_expected_members_and_reports_missing(spark, tmp_path):
+@pytest.mark.parametrize("stream", [True, False])
+def test_bronze_extracts_expected_members_and_reports_missing(spark, tmp_path, stream):
     import io
     import zipfile
     from curate.plans.bronze import BronzeConfig, run_bronze
@@ -80,7 +81,7 @@ def test_bronze_extracts_expected_members_and_reports_missing(spark, tmp_path):
             zf.writestr("dataset/diabetic_data.csv", f"encounter_id,race\n{i},x\n".encode())
             zf.writestr("dataset/other.txt", b"skip")
         (d / f"a{i}.zip").write_bytes(buf.getvalue())
-    cfg = BronzeConfig(base_dir=str(tmp_path / "bronze"), archive_path=str(d))
+    cfg = BronzeConfig(base_dir=str(tmp_path / "bronze"), archive_path=str(d), stream=stream)
     out = run_bronze(spark, cfg)
     assert out["missing"] == ["IDS_mapping.csv"]
     rep = out["report"].first()
