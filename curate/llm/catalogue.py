@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from curate.llm import decontaminate, exactdedup, jaccard, langid, mixing, suffixdedup
+from curate.llm import decontaminate, exactdedup, jaccard, langid, mixing, suffixdedup, toxicity, urlfilter
 
-_MODULES = (suffixdedup, jaccard, exactdedup, decontaminate, mixing, langid)
+_MODULES = (suffixdedup, jaccard, urlfilter, toxicity, exactdedup, decontaminate, mixing, langid)
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
