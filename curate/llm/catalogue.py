@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from curate.llm import (chaining, decontaminate, exactdedup, jaccard, langid, mixing, suffixdedup,
+from curate.llm import (chaining, decontaminate, exactdedup, jaccard, langid, lmscore, mixing, suffixdedup,
                         toxicity, urlfilter)
 
-_MODULES = (suffixdedup, jaccard, urlfilter, toxicity, exactdedup, decontaminate, chaining, mixing, langid)
+_MODULES = (suffixdedup, jaccard, urlfilter, toxicity, exactdedup, lmscore, decontaminate, chaining, mixing, langid)
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
