@@ -2,15 +2,16 @@
 
 Every text becomes a set of n-gram hashes under one global order (n-grams known to be
 frequent first, the others by hash).  Equal sets fold into one entity.  Two sets that
-reach the threshold share one of their last ``n - ceil(t*n) + 1`` n-grams in that order,
-so only those are shuffled, and entities meet where they share one.
+reach the threshold share k of their last ``n - ceil(t*n) + k`` n-grams in that order, so
+only those are shuffled, entities meet where they share one, and pairs that share fewer than
+k (1 for small sets, up to SHARED) are no candidates.
 
 Links are found without listing the pairs of a group.  In a star round every member
 of a group meets the group's leader only; verified links merge entities to
 components; the next round looks only at groups that still hold several
-components.  When little is left, the last round meets every member outside a
-group's largest component with all members of other components, so no link between
-different components is missed.  Candidates pass exact bounds (lengths, then a histogram
+components.  The last round joins the groups of one leader to a family and meets every
+member outside its largest component with all members of other components, in blocks, so
+no link between different components is missed.  Candidates pass exact bounds (lengths, then a histogram
 of the sets) before whole sets are compared.
 
 Sets are compared in prefix trees: the candidates of one probe are stored in global
@@ -32,13 +33,18 @@ from curate.llm.textbytes import LOWER, NOT_SPACE, U64, buffer, chunks, material
 
 CHUNK = 1 << 20
 #: N-grams kept as frequent (by count over all texts), which bounds what is broadcast.
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 #: Buckets of a set's histogram.
-BUCKETS = 128
+BUCKETS = 64
 #: Candidates of one probe that share a tree; more of them make further trees.
 TREE = 512
-#: Star rounds at most, and the candidate pairs below which the last round starts.
-STAR_ROUNDS, FEW_PAIRS = 4, 5_000_000
+#: Probes of a family that are held together while its members pass.
+BLOCK = 1024
+#: Star rounds before the last round, which misses no link (more of them help where families chain).
+STAR_ROUNDS = 1
+#: N-grams that a candidate pair shares among its last ones (which are as many more): one, and one
+#: more for every PER_SHARED n-grams of the set, up to SHARED.
+SHARED, PER_SHARED = 4, 60
 #: Entities below which their ids are broadcast instead of shuffling the texts.
 BROADCAST_IDS = 1_000_000
 _MULT = (U64(3), U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9), U64(0x27D4EB2F165667C5))
@@ -107,7 +113,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             fresh = np.array([x not in seen and not seen.add(x) for x in own.tolist()])
             every.append(grams[fresh[owner]] if len(owner) else grams)
         known, count = np.unique(np.concatenate(every) if every else np.zeros(0, U64), return_counts=True)
-        often = count >= 3
+        often = count >= 2
         known, count = known[often], count[often]
         if len(known) > FREQUENT:
             top = np.argsort(-count, kind="stable")[:FREQUENT]
@@ -146,7 +152,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, num: int, den: int,
             key = order_keys(grams, order.frequent, order.rank)
             sort = np.lexsort((key, owner))
             place = np.arange(len(grams)) - at[owner]
-            tail = (place >= n[owner] - (n - -(-n * num // den) + 1)[owner]) & fresh[owner]
+            tail = (place >= n[owner] - (n - -(-n * num // den) + np.clip(n // PER_SHARED, 1, SHARED))[owner]) & fresh[owner]
             take = sort[tail]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(signed(grams[take])), pa.array(own[owner[tail]]), pa.array(n[owner[tail]].astype(np.int32))], names=["gram", "entity", "n"])
@@ -237,6 +243,37 @@ def _bounded(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[
         yield batch.select(["a", "b"]).filter(keep)
 
 
+def _meet(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Rows come by (lead, block, role): a block's probes, then the members that it meets.  Gives
+    the pairs of different components that the bounds leave."""
+    key, probes = None, None
+    for batch in batches:
+        lead, block, role, entity, n, comp = (np.asarray(batch.column(c)) for c in ("lead", "block", "role", "entity", "n", "comp"))
+        hist = np.frombuffer(buffer(batch.column("hist"))[0], np.uint16).reshape(-1, BUCKETS)
+        edge = np.flatnonzero((np.diff(lead) != 0) | (np.diff(block) != 0) | (np.diff(role) != 0)) + 1 if len(batch) else np.zeros(0, int)
+        a, b = [], []
+        for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(batch)]):
+            if lo == hi:
+                continue
+            part = (entity[lo:hi], n[lo:hi].astype(np.int64), comp[lo:hi], hist[lo:hi])
+            if role[lo] == 0:
+                again = key == (lead[lo], block[lo])
+                probes = tuple(np.concatenate(x) for x in zip(probes, part)) if again else part
+                key = (lead[lo], block[lo])
+                continue
+            for i in range(len(probes[0])):
+                size = probes[1][i] + part[1]
+                near = np.flatnonzero((probes[2][i] != part[2]) & (np.minimum(probes[1][i], part[1]) * den >= np.maximum(probes[1][i], part[1]) * num))
+                if len(near):
+                    least = np.minimum(probes[3][i], part[3][near])
+                    most = least.sum(1, dtype=np.int64) + (least == 65535).sum(1) * (1 << 40)  # a full cell bounds nothing
+                    near = near[(num + den) * most >= num * size[near]]
+                    a.append(np.full(len(near), probes[0][i])), b.append(part[0][near])
+        if a:
+            x, y = np.concatenate(a), np.concatenate(b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+
 def connect(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root): connected components of (a, b) links by alternating large and small stars;
     root is the smallest node.  Every step is a join and an aggregation on nodes."""
@@ -284,6 +321,25 @@ class _Join:
                 .join(ent.select(F.col("entity").alias("b"), F.col("n").alias("n_b"), F.col("hist").alias("hist_b")), "b"))
         return materialise(both.mapInArrow(lambda x: _bounded(x, num, den), "a bigint, b bigint"), "pairs")
 
+    def families(self, members: DataFrame) -> DataFrame:
+        """Pairs (a, b) of different components within the bounds, from (lead, entity, n, comp).
+
+        All groups of one leader are a family.  The members outside its largest component are
+        dealt out in blocks; each block meets all members of the family, which pass by as a stream.
+        """
+        num, den = self.num, self.den
+        own, same = Window.partitionBy("lead"), Window.partitionBy("lead", "comp")
+        once = members.repartition("lead").groupBy("lead", "entity").agg(F.first("n").alias("n"), F.first("comp").alias("comp"))
+        sized = once.withColumn("size", F.count("*").over(same)).withColumn("other", F.max(F.struct("size", "comp")).over(own)["comp"] != F.col("comp"))
+        blocks = F.ceil(F.sum(F.col("other").cast("int")).over(own) / BLOCK)
+        rows = materialise(sized.withColumn("blocks", blocks).filter("blocks > 0").drop("size").join(self.entities.select("entity", "hist"), "entity"), "families")
+        probes = rows.filter("other").withColumn("block", F.pmod(F.xxhash64("entity"), F.col("blocks"))).withColumn("role", F.lit(0))
+        passing = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).withColumn("role", F.lit(1))
+        dealt = (probes.unionByName(passing).select("lead", "block", "role", "entity", "n", "comp", "hist")
+                 .repartition("lead", "block").sortWithinPartitions("lead", "block", "role"))
+        found = dealt.mapInArrow(lambda b: _meet(b, num, den), "a bigint, b bigint")
+        return materialise(found.distinct(), "pairs")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs that link, by prefix trees of each probe's candidates."""
         wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("entity")).distinct().join(self.entities.select("entity", "min_id"), "entity"), "wanted")
@@ -314,38 +370,32 @@ def components(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (80,
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     join = _Join(docs, size, threshold)
-    groups = join.groups()
-    links = None
-    roots = join.entities.select(F.col("entity").alias("node"), F.col("entity").alias("root")).limit(0)
     num, den = threshold
+    split = join.groups().withColumn("comp", F.col("entity"))
+    whole, same = Window.partitionBy("gram"), Window.partitionBy("gram", "comp")
+    close = F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num
+    enough = F.count("*") >= F.min(F.greatest(F.lit(1), F.least(F.lit(SHARED), F.floor(F.least("n_a", "n_b") / PER_SHARED))))
+    links = roots = None
     for k in range(STAR_ROUNDS + 1):
-        placed = groups.join(roots, groups["entity"] == roots["node"], "left").select("gram", "entity", "n", F.coalesce("root", "entity").alias("comp"))
-        whole = Window.partitionBy("gram")
-        same = Window.partitionBy("gram", "comp")
-        split = placed.filter("true").withColumn("size", F.count("*").over(same)).withColumn("lead_comp", F.max(F.struct("size", "comp")).over(whole)["comp"])
-        split = split.withColumn("members", F.count("*").over(whole)).withColumn("others", F.sum((F.col("comp") != F.col("lead_comp")).cast("int")).over(whole)).filter("others > 0")
-        if k:
-            split = materialise(split, "split")
-        rest = split.groupBy("gram").agg(F.first("others").alias("o"), F.first("members").alias("m")).agg(F.sum(F.col("o") * F.col("m"))).first()[0] if k else None
-        if k and not rest:
-            break
-        last = k and (rest <= FEW_PAIRS or k == STAR_ROUNDS)
-        if last:
-            pairs = (split.filter("comp <> lead_comp").select("gram", F.col("entity").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("c_a"))
-                     .join(split.select("gram", F.col("entity").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("c_b")), "gram")
-                     .filter("c_a <> c_b").filter((F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num))
-                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        if roots is not None:
+            split = split.select("gram", "entity", "n").join(roots, F.col("entity") == F.col("node"), "left").select("gram", "entity", "n", F.coalesce("root", "entity").alias("comp"))
+        sized = split.withColumn("size", F.count("*").over(same)).withColumn("lead_comp", F.max(F.struct("size", "comp")).over(whole)["comp"])
+        split = materialise(sized.withColumn("others", F.sum((F.col("comp") != F.col("lead_comp")).cast("int")).over(whole)).filter("others > 0").drop("others", "size", "lead_comp"), "split")
+        # a group's leader is the member whose n-grams are shared most
+        central = split.withColumn("m", F.count("*").over(whole)).groupBy("entity").agg(F.sum("m").alias("degree"))
+        led = split.join(central, "entity").withColumn("lead", F.max(F.struct("degree", "entity", "n", "comp")).over(whole))
+        if k < STAR_ROUNDS:  # each member meets the leader
+            meet = led.filter(F.col("comp") != F.col("lead.comp")).select(F.col("entity").alias("b"), F.col("n").alias("n_b"), F.col("lead.entity").alias("a"), F.col("lead.n").alias("n_a"))
+            pairs = join.bounded(meet.filter(close).groupBy("a", "b").agg(enough.alias("enough")).filter("enough").select("a", "b"))
         else:
-            # the leader comes from the group's largest component; another one each round
-            lead = F.min(F.struct((F.col("comp") != F.col("lead_comp")).alias("x"), F.xxhash64("entity", F.lit(k)).alias("y"), "entity", "n", "comp")).over(whole)
-            pairs = (split.withColumn("lead", lead).filter(F.col("lead.comp") != F.col("comp"))
-                     .filter((F.least("lead.n", "n") * den >= F.greatest("lead.n", "n") * num))
-                     .select(F.col("lead.entity").alias("a"), F.col("entity").alias("b")).distinct())
-        found = join.links(join.bounded(pairs))
+            pairs = join.families(led.select(F.col("lead.entity").alias("lead"), "entity", "n", "comp"))
+        found = join.links(pairs)
+        if found.isEmpty():
+            continue
         links = found if links is None else links.unionByName(found)
         roots = connect(links)
-        if last:
-            break
+    if roots is None:
+        roots = join.entities.select(F.col("entity").alias("node"), F.col("entity").alias("root")).limit(0)
     labelled = join.entities.select("entity", "min_id").join(roots, F.col("entity") == F.col("node"), "left").select("entity", "min_id", F.coalesce("root", "entity").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("min_id").alias("component_id"))
     named = materialise(labelled.join(smallest, "root").select(F.col("entity").alias("_e"), "component_id"), "named")
