@@ -9,9 +9,10 @@ k (1 for small sets, up to SHARED) are no candidates.
 Links are found without listing the pairs of a group.  In a star round every member
 of a group meets the group's leader only; verified links merge entities to
 components; the next round looks only at groups that still hold several
-components.  The last round joins the groups of one leader to a family and meets every
-member outside its largest component with all members of other components, in blocks, so
-no link between different components is missed.  Candidates pass exact bounds (lengths, then a histogram
+components.  In the last round small groups (a fixed size) list their pairs, which are counted;
+the large groups of one leader are joined to a family, where every member outside the largest
+component meets all members of other components, in blocks.  So no link between different
+components is missed.  Candidates pass exact bounds (lengths, then a histogram
 of the sets) before whole sets are compared.
 
 Sets are compared in prefix trees: the candidates of one probe are stored in global
@@ -40,6 +41,8 @@ BUCKETS = 64
 TREE = 512
 #: Probes of a family that are held together while its members pass.
 BLOCK = 1024
+#: Members of a group up to which the last round lists its pairs (at most SMALL / 2 a row).
+SMALL = 16
 #: Star rounds before the last round, which misses no link (more of them help where families chain).
 STAR_ROUNDS = 1
 #: N-grams that a candidate pair shares among its last ones (which are as many more): one, and one
@@ -388,7 +391,13 @@ def components(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (80,
             meet = led.filter(F.col("comp") != F.col("lead.comp")).select(F.col("entity").alias("b"), F.col("n").alias("n_b"), F.col("lead.entity").alias("a"), F.col("lead.n").alias("n_a"))
             pairs = join.bounded(meet.filter(close).groupBy("a", "b").agg(enough.alias("enough")).filter("enough").select("a", "b"))
         else:
-            pairs = join.families(led.select(F.col("lead.entity").alias("lead"), "entity", "n", "comp"))
+            # small groups give their pairs, counted; a pair that a large group holds is met in its family
+            led = materialise(led.select("gram", "entity", "n", "comp", F.col("lead.entity").alias("lead"), (F.count("*").over(whole) <= SMALL).alias("small")), "led")
+            few = led.filter("small")
+            x, y = (few.select("gram", F.col("entity").alias(e), F.col("n").alias(f"n_{e}"), F.col("comp").alias(f"c_{e}")) for e in "ab")
+            meet = x.join(y, "gram").filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b"))).filter(close)
+            pairs = join.bounded(meet.groupBy("a", "b").agg(enough.alias("enough")).filter("enough").select("a", "b"))
+            pairs = pairs.unionByName(join.families(led.filter("not small").select("lead", "entity", "n", "comp"))).distinct()
         found = join.links(pairs)
         if found.isEmpty():
             continue
