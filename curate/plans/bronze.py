@@ -113,7 +113,8 @@ def _extract_through_spark(spark: SparkSession, cfg: BronzeConfig,
     members = expand_archives(spark, cfg.archive_path, cfg.expected, stream=False).persist(
         StorageLevel.MEMORY_AND_DISK)
     cached.append(members)
-    (members.select("file_name", "text").write.mode("overwrite")
+    # one member a file: each begins with its own header line
+    (members.select("file_name", "text").write.mode("overwrite").option("maxRecordsPerFile", 1)
      .partitionBy("file_name").text(cfg.extract_dir))
     target = F.concat(F.lit(f"{cfg.extract_dir}/file_name="), F.col("file_name"))
     return members.select("path", "member_path", "file_name", "size_bytes", "type",

@@ -215,7 +215,8 @@ def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
         raw = raw.where(q(corrupt).isNull())
 
     # -- typed rows + per-row metric flags ------------------------------------
-    nulled = nullify(raw, spec.sentinel)
+    # the corrupt column stays as it is: a malformed line may read like the sentinel
+    nulled = nullify(raw, spec.sentinel, raw_cols)
     fails = cast_failure_predicates(spec.schema)
     flag_cols = [f"_cf{i}" for i in range(len(fails))] + ["_corrupt_n"]
     typed = nulled.select(

@@ -16,6 +16,7 @@ newlines.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import mimetypes
 import uuid
@@ -120,9 +121,9 @@ _CHUNK_CHARS = 1 << 20
 
 
 def _target(out_dir: str, archive: str, member: str, name: str) -> str:
-    stem = archive.rsplit("/", 1)[-1]
-    safe = "".join(ch if ch.isalnum() or ch in "._-" else "_" for ch in f"{stem}-{member}")
-    return f"{out_dir.rstrip('/')}/file_name={name}/{safe}.txt"
+    # archives of one name and members of one safe spelling must not share a file
+    digest = hashlib.sha256(f"{archive}\0{member}".encode()).hexdigest()[:24]
+    return f"{out_dir.rstrip('/')}/file_name={name}/member-{digest}.txt"
 
 
 def _extractor(out_dir: str, expected: frozenset[str] | None):
@@ -149,7 +150,10 @@ def _extractor(out_dir: str, expected: frozenset[str] | None):
                         # Each attempt writes its own temporary file, then moves it onto
                         # the deterministic target: a retried or speculative attempt
                         # replaces the file whole, never duplicates or interleaves it.
-                        tmp = f"{local}.{attempt}.{uuid.uuid4().hex[:8]}.tmp"
+                        # Spark does not read names that begin with "_", so what a killed attempt
+                        # leaves is never data.
+                        folder, _, base = local.rpartition("/")
+                        tmp = f"{folder}/_{base}.{attempt}.{uuid.uuid4().hex[:8]}.tmp"
                         with zf.open(info, "r") as raw, out_fs.open_output_stream(tmp) as out:
                             text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace")
                             while chunk := text.read(_CHUNK_CHARS):
