@@ -208,3 +208,9 @@ def test_section_to_dim_matches_spark_csv_read(spark, tmp_path_factory, rows):
            .where("id IS NOT NULL"))
     want = sorted(map(tuple, ref.collect()), key=repr)
     assert got == want
+
+
+def test_extraction_targets_differ_by_archive_folder_and_member_path():
+    from curate.sources.archive import _target
+    where = [("file:/d1/data.zip", "p/q/x.csv"), ("file:/d2/data.zip", "p/q/x.csv"), ("file:/d1/data.zip", "p_q/x.csv")]
+    assert len({_target("file:/out", a, m, "x.csv") for a, m in where}) == 3
