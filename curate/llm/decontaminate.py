@@ -277,22 +277,12 @@ def find_phrases(spark: SparkSession, docs: DataFrame, items: DataFrame, size: i
 
 
 def remove_spans(df: DataFrame) -> DataFrame:
-    """``text`` without its spans (bytes); texts without spans stay as they are, n_chars follows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, spans in enumerate(batch.column("spans").to_pylist()):
-                if spans:
-                    raw, out, at = texts[i].encode(), [], 0
-                    for s in spans:
-                        out.append(raw[at:s["start"]])
-                        at = s["end"]
-                    texts[i] = b"".join([*out, raw[at:]]).decode()
-            names = batch.schema.names
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names], names=names)
-
-    return df.mapInArrow(run, df.schema)
+    """``text`` without its spans (bytes, which begin and end with words); texts without spans stay as they are."""
+    raw, none = F.col("text").cast("binary"), F.array(F.lit(0).cast("bigint"))
+    start = F.concat(none, F.transform("spans", lambda s: s["end"]))
+    end = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.octet_length(raw).cast("bigint")))
+    kept = F.zip_with(start, end, lambda a, b: F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")).cast("string"))
+    return df.withColumn("text", F.when(F.size("spans") > 0, F.array_join(kept, "")).otherwise(F.col("text")))
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

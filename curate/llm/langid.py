@@ -86,10 +86,9 @@ def identify(spark: SparkSession, docs: DataFrame, dictionaries: dict[str, bytes
         tools = Compressors(held.value)
         for batch in batches:
             buf, at = buffer(batch.column("_text"))
-            raw = buf.tobytes()
             lang, score, margin = [], [], []
             for i in range(len(batch)):
-                own = raw[at[i]:at[i + 1]]
+                own = buf[at[i]:at[i + 1]].tobytes()
                 if not own.strip() or not tools.names:
                     lang.append("und"), score.append(0.0), margin.append(0.0)
                     continue
