@@ -17,10 +17,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# "  -12.75 " -> "  -12 "   (integral part kept, fraction dropped)
-_DECIMAL_TEXT = r"^(\s*[+-]?\d+)\.\d*(\s*)$"
-# ".5", "-.5", "." -> "0"   (no integral digits: the non-ANSI cast yields 0)
-_BARE_FRACTION = r"^\s*[+-]?\.\d*\s*$"
+# "  -12.75 " -> "  -012", ".5" and "." -> "0", "-.5" -> "-0": the fraction is dropped and a
+# zero put before the digits, if any (without integral digits the non-ANSI cast yields 0).
+_DECIMAL_TEXT = r"^(\s*[+-]?)(\d*)\.\d*\s*$"
+_INTEGRAL_PART = "$10$2"      # group 1, a zero, group 2 (there is no group 10)
 
 INTEGRAL_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -41,8 +41,7 @@ def lenient_cast(c: Column | str, data_type: T.DataType | str) -> Column:
         text = col.cast("string")
         # Fast path: plain integer text casts directly (no regex evaluated;
         # coalesce only evaluates the rewrite when the direct cast fails).
-        rewritten = F.regexp_replace(F.regexp_replace(text, _DECIMAL_TEXT, "$1"),
-                                     _BARE_FRACTION, "0")
+        rewritten = F.regexp_replace(text, _DECIMAL_TEXT, _INTEGRAL_PART)
         return F.coalesce(text.try_cast(dt), rewritten.try_cast(dt))
     if isinstance(dt, T.StringType):
         return col.cast(dt)

@@ -1,17 +1,19 @@
 """Bronze layer (SRC1 + SNK4 + PIPE4/PIPE5): archives -> extracted members.
 
 Archives are expanded in parallel and every expected member's text is
-streamed (decoded in bounded chunks) to ``<extract_dir>/file_name=<name>/``,
+streamed (decoded in bounded chunks) to ``<run's folder>/file_name=<name>/``,
 so members of the same name from many archives land together and are read
-back as one input, and no member is ever held whole in memory.  The same job
-writes a member manifest (path, member, size, type, target) as a table; the
-log records counts, the missing expected names and -- for small runs -- the
-member list itself.
+back as one input, and no member is ever held whole in memory.  Every call
+extracts into a folder of its own, so what an earlier run or attempt left is
+never read as this run's data.  The same job writes a member manifest (path,
+member, size, type, target) as a table; the log records counts, the manifest's
+path and the missing expected names.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -22,7 +24,7 @@ from curate.operators.integrity import missing_expected
 from curate.plans.report import BRONZE_METRICS, build_report, report_document
 from curate.plans.sinks import write_report
 from curate.plans.steplog import StepLog
-from curate.sources.archive import expand_archives, extract_members
+from curate.sources.archive import expand_archives, extract_members, list_archives
 from curate.sources.steplog import read_step_log
 
 _log = logging.getLogger("curate.bronze")
@@ -30,7 +32,6 @@ _log = logging.getLogger("curate.bronze")
 # The bronze step name and the expected archive members.
 STEP_EXTRACT = "diabetes_zip_extract"
 EXPECTED_FILES = ("diabetic_data.csv", "IDS_mapping.csv")
-MANIFEST_LIST_MAX = 1000   # member list is inlined in the log up to this size
 
 
 @dataclass(frozen=True)
@@ -45,11 +46,11 @@ class BronzeConfig:
     stream: bool = True
 
     @property
-    def extract_dir(self) -> str:
+    def extract_root(self) -> str:
         return f"{self.base_dir}/raw_extracted"
 
     @property
-    def manifest_dir(self) -> str:
+    def manifest_root(self) -> str:
         return f"{self.base_dir}/_manifest"
 
     @property
@@ -60,50 +61,68 @@ class BronzeConfig:
     def report_path(self) -> str:
         return f"{self.base_dir}/data_quality_report"
 
-    def member_dir(self, file_name: str) -> str:
-        return f"{self.extract_dir}/file_name={file_name}"
+
+def member_dir(extract_dir: str, file_name: str) -> str:
+    """The folder with all members of one name that a run extracted."""
+    return f"{extract_dir}/file_name={file_name}"
 
 
 def run_bronze(spark: SparkSession, cfg: BronzeConfig, run_id: str | None = None) -> dict:
-    """Extract the expected members of every archive under ``cfg.archive_path``."""
+    """Extract the expected members of every archive under ``cfg.archive_path``.
+
+    ``extract_dir`` of the result is this call's folder; read it with :func:`member_dir`.
+    """
     log = StepLog(spark, cfg.log_dir, run_id)
-    with log.step(STEP_EXTRACT, zip_path=cfg.archive_path,
-                  extract_dir=cfg.extract_dir) as payload:
+    # a re-used run id is another attempt, with a folder of its own
+    attempt = f"run_id={log.run_id}/attempt={uuid.uuid4().hex[:8]}"
+    extract_dir, manifest_dir = f"{cfg.extract_root}/{attempt}", f"{cfg.manifest_root}/{attempt}"
+    with log.step(STEP_EXTRACT, zip_path=cfg.archive_path, extract_dir=extract_dir) as payload:
         # One job: tasks stream each expected member to its file and emit a
         # manifest row, which is written as the manifest table.
         obs = Observation("extract")
         cached: list[DataFrame] = []
         if cfg.stream:
-            manifest = extract_members(spark, cfg.archive_path, cfg.extract_dir, cfg.expected)
+            manifest = extract_members(spark, cfg.archive_path, extract_dir, cfg.expected)
         else:
-            manifest = _extract_through_spark(spark, cfg, cached)
+            manifest = _extract_through_spark(spark, cfg, extract_dir, cached)
         (manifest.observe(obs, F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
-         .write.mode("overwrite").parquet(cfg.manifest_dir))
+         .write.mode("overwrite").parquet(manifest_dir))
         for df in cached:
             df.unpersist()
-        saved = spark.read.parquet(cfg.manifest_dir)
-        counts = saved.agg(F.count(F.lit(1)).alias("n"),
+        saved = spark.read.parquet(manifest_dir)
+        is_csv = F.lower("file_name").endswith(".csv")
+        counts = saved.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_csv).alias("csv"),
                            F.count_distinct("path").alias("archives")).first()
         missing = [r[0] for r in missing_expected(spark, saved, cfg.expected).collect()]
-        payload.update(zip_path=cfg.archive_path, extract_dir=cfg.extract_dir,
+        zip_bytes = list_archives(spark, cfg.archive_path).agg(F.sum("length")).first()[0] or 0
+        csv_dirs = [member_dir(extract_dir, n) for n in cfg.expected
+                    if n.lower().endswith(".csv") and n not in missing]
+        payload.update(zip_path=cfg.archive_path, extract_dir=extract_dir,
                        archives=int(counts["archives"]), exported_files_count=int(counts["n"]),
-                       extracted_bytes=int(obs.get["bytes"]), manifest=cfg.manifest_dir,
+                       exported_files=manifest_dir,     # the list is a table: it has no bound
+                       zip_size_mb=round(zip_bytes / (1 << 20), 2), csv_files_found=int(counts["csv"]),
+                       total_rows=_data_rows(spark, csv_dirs),
+                       extracted_bytes=int(obs.get["bytes"]), manifest=manifest_dir,
                        expected_missing=missing)
-        if counts["n"] <= MANIFEST_LIST_MAX:
-            payload["exported_files"] = [
-                {"file_name": r["file_name"], "target_path": r["target_path"],
-                 "size_bytes_in_zip": int(r["size_bytes"]), "type": r["type"]}
-                for r in saved.orderBy("path", "member_path").collect()]
         if missing:
             _log.warning("missing expected files: %s", missing)
     report = bronze_report_or_none(spark, cfg, log.run_id)
     if report is not None:
         write_report(report_document(report, BRONZE_METRICS), cfg.report_path)
     return {"run_id": log.run_id, "log": log, "report": report, "manifest": saved,
-            "missing": missing}
+            "missing": missing, "extract_dir": extract_dir}
+
+
+def _data_rows(spark: SparkSession, dirs: list[str]) -> int:
+    """Non-blank lines of the extracted files, without the first of each (its header)."""
+    if not dirs:
+        return 0
+    lines = spark.read.text(dirs).where(F.trim("value") != "")
+    per_file = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return int(per_file.agg(F.sum(F.col("n") - 1)).first()[0] or 0)
 
 
-def _extract_through_spark(spark: SparkSession, cfg: BronzeConfig,
+def _extract_through_spark(spark: SparkSession, cfg: BronzeConfig, extract_dir: str,
                            cached: list[DataFrame]) -> DataFrame:
     """Members via ``binaryFile`` content, text written by Spark partitioned by name.
 
@@ -115,8 +134,8 @@ def _extract_through_spark(spark: SparkSession, cfg: BronzeConfig,
     cached.append(members)
     # one member a file: each begins with its own header line
     (members.select("file_name", "text").write.mode("overwrite").option("maxRecordsPerFile", 1)
-     .partitionBy("file_name").text(cfg.extract_dir))
-    target = F.concat(F.lit(f"{cfg.extract_dir}/file_name="), F.col("file_name"))
+     .partitionBy("file_name").text(extract_dir))
+    target = F.concat(F.lit(f"{extract_dir}/file_name="), F.col("file_name"))
     return members.select("path", "member_path", "file_name", "size_bytes", "type",
                           target.alias("target_path"))
 

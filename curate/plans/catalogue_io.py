@@ -9,6 +9,7 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -107,6 +108,39 @@ def archive_expand(spark, sf_dir):
                           "size_bytes", "type", "text")
 
 
+def _page_member_writer(out_dir: str):
+    """One archive ``pages.zip`` a folder, every member named ``page.html``."""
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs as pafs
+        bucket = int(pdf["bucket"].iloc[0])
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            for pid, html in zip(pdf["page_id"], pdf["html"]):
+                zf.writestr(f"pages/{int(pid)}/page.html", (html or "").encode("utf-8"))
+        _put(f"{out_dir}/day{bucket}", "pages.zip", buf.getvalue(), pafs)
+        return pd.DataFrame({"bucket": [bucket], "members": [len(pdf)]})
+    return write
+
+
+@register("bronze_members", """
+SELECT page_id, replace(replace(coalesce(html, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text
+FROM pages""")
+def bronze_members(spark, sf_dir):
+    """Extracted files read back row by row: equal archive and member names in many folders."""
+    from curate.plans.bronze import BronzeConfig, member_dir, run_bronze
+    base = shared_dir(spark, "bronze")
+    pages = load(spark, sf_dir, "pages").select(
+        "page_id", "html", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE).cast("long").alias("bucket"))
+    pages.groupBy("bucket").applyInPandas(_page_member_writer(f"{base}/zips"), "bucket long, members long").count()
+    out = run_bronze(spark, BronzeConfig(base_dir=base, archive_path=f"{base}/zips", expected=("page.html",)))
+    files = spark.read.text(member_dir(out["extract_dir"], "page.html"), wholetext=True).select(
+        basename(F.col("_metadata.file_path")).alias("file"), F.col("value"))
+    members = out["manifest"].select(F.split("member_path", "/")[1].cast("long").alias("page_id"),
+                                     basename("target_path").alias("file"))
+    # an empty file gives no row
+    return members.join(files, "file", "left").select("page_id", F.coalesce("value", F.lit("")).alias("text"))
+
+
 # --------------------------------------------------------------------------
 # Saved table round trip
 # --------------------------------------------------------------------------
@@ -273,6 +307,47 @@ def archive_to_silver(spark, sf_dir):
     return out["silver"]["report"].select(*REPORT_COLUMNS)
 
 
+@register("bronze_report", f"""{CTES}
+SELECT 'Encounters - Bronze Layer ETL' AS pipeline, 'BRONZE' AS layer, CAST(1 AS BIGINT) AS success_steps,
+       CAST(ceil(count(*) / {ROWS_PER_ARCHIVE}.0) AS BIGINT) AS files_extracted,
+       CAST(ceil(count(*) / {ROWS_PER_ARCHIVE}.0) AS BIGINT) AS csv_files_found,
+       CAST(count(*) AS BIGINT) AS total_rows, '[]' AS expected_missing FROM raw""")
+def bronze_report(spark, sf_dir):
+    from curate.plans.bronze import EXPECTED_FILES, BronzeConfig, run_bronze
+    base = shared_dir(spark, "bronze")
+    write_encounter_archives(spark, sf_dir, f"{base}/archives")
+    out = run_bronze(spark, BronzeConfig(base_dir=base, archive_path=f"{base}/archives", expected=EXPECTED_FILES[:1],
+                                         pipeline_name="Encounters - Bronze Layer ETL"))
+    return out["report"].select("pipeline", "layer", "success_steps", "files_extracted", "csv_files_found",
+                                "total_rows", "expected_missing")
+
+
+# --------------------------------------------------------------------------
+# Bad records (SNK7)
+# --------------------------------------------------------------------------
+
+@register("bad_records", f"""{CTES}
+SELECT count(*) AS bad_rows, count(DISTINCT encounter_id) AS bad_ids
+FROM raw WHERE encounter_id LIKE '%13'""")
+def bad_records(spark, sf_dir):
+    """The fact flow diverts corrupt lines to the bad-record folder; what it wrote is read back."""
+    from curate.plans.silver import fact_plan
+    base = shared_dir(spark, "bad")
+    raw = encounters_raw(spark, sf_dir)
+    dirty = raw.withColumn("race", F.when(F.col("encounter_id").endswith("13"),
+                                          F.concat(F.col("race"), F.lit(", extra")))
+                           .otherwise(F.col("race")))
+    write_csv(dirty, f"{base}/csv", quote=False)
+    spec = encounters_spec(raw)
+    spec = replace(spec, fks=())
+    cfg = SilverConfig(base_dir=base, spec=spec, on_corrupt="divert")
+    fact_plan(spark, f"{base}/csv", cfg, {}, spec)        # the sink is written while the plan is built
+    first = raw.columns.index("encounter_id")
+    return spark.read.text(cfg.bad_records_dir).agg(
+        F.count(F.lit(1)).alias("bad_rows"),
+        F.count_distinct(F.split("value", ",")[first]).alias("bad_ids"))
+
+
 # --------------------------------------------------------------------------
 # Incremental (streaming) curation
 # --------------------------------------------------------------------------

@@ -47,6 +47,9 @@ BRONZE_METRICS = (
     Metric("files_extracted", "diabetes_zip_extract", "exported_files_count"),
     Metric("extraction_path", "diabetes_zip_extract", "extract_dir", "string", ""),
     Metric("expected_missing", "diabetes_zip_extract", "expected_missing", "string", "[]"),
+    Metric("zip_size_mb", "diabetes_zip_extract", "zip_size_mb", "double"),
+    Metric("csv_files_found", "diabetes_zip_extract", "csv_files_found"),
+    Metric("total_rows", "diabetes_zip_extract", "total_rows"),
 )
 
 # Issues summed by the quality score (each a metric name above).

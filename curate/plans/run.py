@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from curate.plans.bronze import EXPECTED_FILES, BronzeConfig, run_bronze
+from curate.plans.bronze import EXPECTED_FILES, BronzeConfig, member_dir, run_bronze
 from curate.plans.silver import SilverConfig, run_silver
 from curate.sources.csv import header_names
 from curate.sources.lines import read_lines
@@ -27,10 +27,11 @@ def run_all(spark: SparkSession, base_dir: str, archive_path: str,
     bronze = run_bronze(spark, bronze_cfg)
     silver_cfg = SilverConfig(base_dir=f"{base_dir}/silver", spec=spec, database=database,
                               pipeline_name=f"{pipeline_prefix}Silver Layer ETL")
+    fact_dir = member_dir(bronze["extract_dir"], fact_file)
     if restrict:
-        spec = spec.restrict(header_names(spark, bronze_cfg.member_dir(fact_file)))
-    lines = read_lines(spark, bronze_cfg.member_dir(mapping_file))
-    silver = run_silver(spark, silver_cfg, bronze_cfg.member_dir(fact_file), lines, spec=spec)
+        spec = spec.restrict(header_names(spark, fact_dir))
+    lines = read_lines(spark, member_dir(bronze["extract_dir"], mapping_file))
+    silver = run_silver(spark, silver_cfg, fact_dir, lines, spec=spec)
     return {"bronze": bronze, "silver": silver}
 
 

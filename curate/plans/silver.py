@@ -17,6 +17,7 @@ write the table, then the summaries read the saved (columnar, pruned) table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curate.functions.casting import lenient_cast
-from curate.functions.text import csv_fields
 from curate.operators.cleaning import cast_failure_predicates, nullify, q, schema_matches, with_null
 from curate.operators.dedupe import COUNT, dedupe_grouped
 from curate.operators.integrity import (DEFAULT_BROADCAST_MAX_IDS, flag_fks,
@@ -37,10 +37,9 @@ from curate.plans.report import SILVER_METRICS, build_report, report_document
 from curate.plans.sinks import ensure_db, save_table, write_report
 from curate.plans.steplog import FAILED, SUCCESS, StepLog
 from curate.sources.csv import read_permissive_csv, write_bad_records
-from curate.sources.lines import (route_sections, section_headers, section_to_dim,
-                                  split_sections)
+from curate.sources.lines import (header_widths, route_sections, section_headers,
+                                  section_to_dim, split_sections)
 from curate.sources.steplog import read_step_log
-from curate.sources.tables import spread
 from curate.spec import DIMENSIONS, ENCOUNTERS, DimSpec, FactSpec
 
 # Step names of the silver log.
@@ -66,6 +65,9 @@ class SilverConfig:
     on_corrupt: str = "keep"           # "keep" corrupt rows in the flow or "divert" them
     corrupt_col: str = "_corrupt_record"
     broadcast_max_ids: int = DEFAULT_BROADCAST_MAX_IDS
+    # Partitions for raw input that can't be split (one gzip file): a shuffle of the raw
+    # rows, so only on request.
+    repartition_raw: int | None = None
     pipeline_name: str = "Silver Layer ETL"
 
     @property
@@ -108,7 +110,7 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
         sections = split_sections(lines).persist(StorageLevel.MEMORY_AND_DISK)
         routed = route_sections(section_headers(sections), cfg.dims).persist(
             StorageLevel.MEMORY_AND_DISK)
-        per_dim = _sections_per_dim(routed, cfg.dims)      # at most one row per dimension
+        per_dim = header_widths(routed, cfg.dims)          # at most one row per dimension
         present = {d for d in per_dim if d is not None}
         dims = {}
         for d in cfg.dims:
@@ -127,31 +129,6 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
     return dims
 
 
-def _sections_per_dim(routed: DataFrame, dims: tuple[DimSpec, ...]
-                      ) -> dict[str | None, tuple[int, int]]:
-    """``{dim: (sections, widest header)}`` (``None``: unrouted), checked on the cluster.
-
-    A section routed to a dimension must name its id and name columns, as a
-    column lookup by name would otherwise fail; the first offending header is
-    reported.  Only one row per dimension reaches the driver.
-    """
-    names = F.transform(csv_fields(F.col("header")), lambda x: F.lower(F.trim(x)))
-    ok = F.lit(True)
-    for d in dims:
-        has = (F.array_contains(names, d.id_col.lower())
-               & F.array_contains(names, d.name_col.lower()))
-        ok = F.when(F.col("dim") == d.table, has).otherwise(ok)
-    rows = routed.groupBy("dim").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.max(F.size(csv_fields(F.col("header")))), F.lit(0)).alias("w"),
-        F.first(F.when(~ok, F.col("header")), ignorenulls=True).alias("bad_header")).collect()
-    for r in rows:
-        if r["bad_header"] is not None:
-            raise ValueError(f"sections routed to {r['dim']} must name the dimension's id and "
-                             f"name columns; header: {r['bad_header']!r}")
-    return {r["dim"]: (int(r["n"]), int(r["w"])) for r in rows}
-
-
 def dim_key_stats(dims: dict[str, DataFrame], id_cols: dict[str, str]) -> dict[str, dict]:
     """``{table: {rows, distinct_ids, duplicates}}`` for all saved dimensions in one job."""
     if not dims:
@@ -174,7 +151,11 @@ def _sum0(v) -> int:
 
 
 def fk_inputs_of(spec: FactSpec, dims: dict[str, DataFrame]) -> list[tuple[str, DataFrame, str]]:
-    """``(fk, dimension, id column)`` for the spec's foreign keys whose dimension exists."""
+    """``(fk, dimension, id column)`` for the spec's foreign keys; a dimension must exist
+    unless the key is optional."""
+    missing = [k.dim_table for k in spec.fks if k.dim_table not in dims and not k.optional]
+    if missing:
+        raise ValueError(f"no dimension table for the foreign keys: {', '.join(missing)}")
     return [(k.fk, dims[k.dim_table], k.dim_id) for k in spec.fks if k.dim_table in dims]
 
 
@@ -191,19 +172,27 @@ class FactPlan:
     sizes: dict[str, int]
     schema_exact: bool
     diverted: int | None
-    persisted: list                # small cached id sets, released after the write
+    clean: DataFrame               # typed, de-duplicated rows, not yet standardised
     large_fks: list                # (fk, ids) above the broadcast bound: counted after the write
 
 
 def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
-              dims: dict[str, DataFrame], spec: FactSpec) -> FactPlan:
-    """Build (without running) the one-pass query from raw input to curated rows."""
+              dims: dict[str, DataFrame], spec: FactSpec,
+              persisted: list[DataFrame] | None = None,
+              at: Callable[[str], None] = lambda step: None) -> FactPlan:
+    """Build (without running) the one-pass query from raw input to curated rows.
+
+    Cached id sets are appended to ``persisted`` for release after the write;
+    ``at`` is told each step as its part is built.
+    """
     corrupt = cfg.corrupt_col
+    at(STEP_LOAD)
     if isinstance(source, str):
         raw = read_permissive_csv(spark, source, corrupt_col=corrupt)
     else:
         raw = with_null(source, corrupt)
-    raw = spread(raw)                      # a lone unsplittable raw file is re-split
+    if cfg.repartition_raw:
+        raw = raw.repartition(cfg.repartition_raw)
     raw_cols = [c for c in raw.columns if c != corrupt]
     diverted = None
     if cfg.on_corrupt == "divert":
@@ -216,25 +205,34 @@ def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
 
     # -- typed rows + per-row metric flags ------------------------------------
     # the corrupt column stays as it is: a malformed line may read like the sentinel
+    at(STEP_SCHEMA)
     nulled = nullify(raw, spec.sentinel, raw_cols)
-    fails = cast_failure_predicates(spec.schema)
+    fails = [f for f, _ in cast_failure_predicates(spec.schema)]
     flag_cols = [f"_cf{i}" for i in range(len(fails))] + ["_corrupt_n"]
-    typed = nulled.select(
+    # two projections: a cast value is computed once and read by its failure flag
+    cast = nulled.select(
         *[lenient_cast(q(f.name), f.dataType).alias(f.name) for f in spec.schema.fields],
-        *[p.cast("long").alias(f"_cf{i}") for i, (_, p) in enumerate(fails)],
+        *[q(f.name).isNotNull().alias(f"_given{i}") for i, f in enumerate(fails)],
         q(corrupt).isNotNull().cast("long").alias("_corrupt_n"))
+    typed = cast.select(
+        *[q(c) for c in spec.columns],
+        *[(F.col(f"_given{i}") & q(f.name).isNull()).cast("long").alias(f"_cf{i}")
+          for i, f in enumerate(fails)],
+        "_corrupt_n")
     schema_exact = schema_matches(typed.select(*[q(c) for c in spec.columns]), spec.schema)
 
     # -- dedupe (the only fact shuffle) carrying the flags --------------------
+    at(STEP_DUPES)
     deduped = dedupe_grouped(typed, spec.key, carry=flag_cols)
 
     # -- foreign keys: size-checked broadcast joins, same stage ---------------
+    at(STEP_FK)
     fk_inputs = fk_inputs_of(spec, dims)
-    persisted: list[DataFrame] = []
     large: list[tuple[str, DataFrame]] = []
     flagged, hits, sizes = flag_fks(deduped, fk_inputs, cfg.broadcast_max_ids, persisted, large)
 
     # -- observed metrics on the clean (deduped, typed) rows ------------------
+    at(STEP_NULLS)
     obs_clean = Observation("clean")
     clean_aggs = [F.count(F.lit(1)).alias("rows_after"), F.sum(COUNT).alias("rows_before"),
                   F.sum("_corrupt_n").alias("corrupt_rows")]
@@ -245,12 +243,20 @@ def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
     clean = flagged.observe(obs_clean, *clean_aggs).select(*[q(c) for c in spec.columns])
 
     # -- standardise + observed rule violations -------------------------------
+    at(STEP_TRANSFORM)
     curated = curate(clean, spec)
+    at(STEP_RULES)
     obs_rules = Observation("rules")
     rule_aggs = [F.count_if(r.violated()).alias(f"r{i}") for i, r in enumerate(spec.rules)]
     observed = curated.observe(obs_rules, F.count(F.lit(1)).alias("rows"), *rule_aggs)
     return FactPlan(observed, obs_clean, obs_rules, raw_cols, fails, hits, sizes, schema_exact,
-                    diverted, persisted, large)
+                    diverted, deduped, large)
+
+
+def _rewritten(spec: FactSpec) -> set[str]:
+    """Columns whose saved value may differ from the typed one (strings are trimmed)."""
+    return ({f.name for f in spec.schema.fields if isinstance(f.dataType, T.StringType)}
+            | {s.column for s in spec.standardise} | {d.name for d in spec.derived})
 
 
 def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
@@ -258,29 +264,43 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
                 spec: FactSpec | None = None) -> tuple[DataFrame, dict]:
     """Load, profile, type, dedupe, check, standardise and save the fact.
 
-    Returns ``(saved table, metrics)``; every step gets one log record.
+    Returns ``(saved table, metrics)``; every step gets one log record.  A
+    failure is logged under the step that was being built; one of the single
+    job that runs them all, under the save step.
     """
     spec = spec or cfg.spec
-    corrupt = cfg.corrupt_col
     input_desc = source if isinstance(source, str) else "<dataframe>"
+    steps, persisted = [STEP_LOAD], []
     try:
-        plan = fact_plan(spark, source, cfg, dims, spec)
-        table = cfg.table(spec.name)
-        ensure_db(spark, cfg.database, f"{cfg.tables_dir}/{cfg.database}.db")
-        saved_info = save_table(plan.observed, table, cfg.fmt,
-                                path=f"{cfg.tables_dir}/{spec.name}")
-        m1, m2 = plan.obs_clean.get, plan.obs_rules.get
-        # Keys whose dimension is too large to broadcast: count orphans on the saved
-        # (columnar) table, pre-aggregated per key value -- the fact is never shuffled.
-        large_orphans = {fk: int(orphan_count_preaggregated(spark.table(table), fk, ids)
-                                 .first()["orphaned_fact_rows"])
-                         for fk, ids in plan.large_fks}
-        for cached in plan.persisted:
-            cached.unpersist()
+        return _curate_fact(spark, source, cfg, log, dims, spec, input_desc, persisted, steps.append)
     except Exception as e:
-        log.write(STEP_LOAD, FAILED, {"input_csv": input_desc,
+        log.write(steps[-1], FAILED, {"input_csv": input_desc,
                                       "bad_records_dir": cfg.bad_records_dir, "error": str(e)})
         raise
+    finally:
+        for cached in persisted:
+            cached.unpersist()
+
+
+def _curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig, log: StepLog,
+                 dims: dict[str, DataFrame], spec: FactSpec, input_desc: str,
+                 persisted: list[DataFrame], at: Callable[[str], None]) -> tuple[DataFrame, dict]:
+    corrupt = cfg.corrupt_col
+    plan = fact_plan(spark, source, cfg, dims, spec, persisted, at)
+    at(STEP_SAVE)
+    table = cfg.table(spec.name)
+    ensure_db(spark, cfg.database, f"{cfg.tables_dir}/{cfg.database}.db")
+    saved_info = save_table(plan.observed, table, cfg.fmt, path=f"{cfg.tables_dir}/{spec.name}")
+    m1, m2 = plan.obs_clean.get, plan.obs_rules.get
+    # Keys whose dimension is too large to broadcast are counted pre-aggregated per key
+    # value: on the saved (columnar) table, or on the typed rows where saving changes the key.
+    at(STEP_FK)
+    rewritten = _rewritten(spec)
+    large_orphans = {
+        fk: int(orphan_count_preaggregated(plan.clean if fk in rewritten else spark.table(table),
+                                           fk, ids).first()["orphaned_fact_rows"])
+        for fk, ids in plan.large_fks}
+    at(STEP_SAVE)
     raw_cols, fails, hits, sizes = plan.raw_cols, plan.fails, plan.hits, plan.sizes
     schema_exact, diverted = plan.schema_exact, plan.diverted
 
@@ -295,7 +315,7 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
         "columns": raw_cols + [corrupt]}))
 
     failures = {}
-    for i, (f, _) in enumerate(fails):
+    for i, f in enumerate(fails):
         n = _sum0(m1[f"cf{i}"])
         if n > 0:
             failures[f.name] = {"failed_rows": n, "target_type": f.dataType.simpleString(),

@@ -13,9 +13,12 @@ import uuid
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from curate.sources.literal import literal_rows
+from curate.sources.steplog import read_step_log
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
@@ -31,9 +34,19 @@ class StepLog:
         self.spark = spark
         self.log_dir = log_dir
         self.run_id = run_id or uuid.uuid4().hex
-        self.seq = 0
+        # a run id used before goes on counting, so its last record stays the last
+        self.seq = self._stored_seq() if run_id else 0
         self.records: list[dict] = []
 
+    def _stored_seq(self) -> int:
+        try:
+            log = read_step_log(self.spark, self.log_dir, self.run_id)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0
+        return int(log.agg(F.max("seq")).first()[0] or 0)
+
     def write(self, step: str, status: str, payload: dict) -> dict:
         return self.write_many([(step, status, payload)])[0]
 

@@ -103,11 +103,33 @@ def route_sections(headers: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     return headers.withColumn("dim", dim)
 
 
-def header_widths(routed: DataFrame) -> dict[str | None, tuple[int, int]]:
-    """``{dim: (sections, widest header)}`` -- one small row per dimension."""
+def header_fields(header: Column) -> Column:
+    """Field names of a header line, stripped and in lower case."""
+    return F.transform(csv_fields(header), lambda x: F.lower(stripped(x)))
+
+
+def header_widths(routed: DataFrame, dims: Sequence[DimSpec] = ()
+                  ) -> dict[str | None, tuple[int, int]]:
+    """``{dim: (sections, widest header)}`` (``None``: unrouted) -- one small row per dimension.
+
+    A section routed to one of ``dims`` must name its id and name columns, as
+    a column lookup by name would otherwise fail; the first offending header is
+    reported.
+    """
+    names = header_fields(F.col("header"))
+    ok = F.lit(True)
+    for d in dims:
+        has = (F.array_contains(names, d.id_col.lower())
+               & F.array_contains(names, d.name_col.lower()))
+        ok = F.when(F.col("dim") == d.table, has).otherwise(ok)
     rows = routed.groupBy("dim").agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.max(F.size(csv_fields(F.col("header")))), F.lit(0)).alias("w")).collect()
+        F.coalesce(F.max(F.size(names)), F.lit(0)).alias("w"),
+        F.first(F.when(~ok, F.col("header")), ignorenulls=True).alias("bad_header")).collect()
+    for r in rows:
+        if r["bad_header"] is not None:
+            raise ValueError(f"sections routed to {r['dim']} must name the dimension's id and "
+                             f"name columns; header: {r['bad_header']!r}")
     return {r["dim"]: (int(r["n"]), int(r["w"])) for r in rows}
 
 
@@ -135,7 +157,7 @@ def section_to_dim(sections: DataFrame, routed: DataFrame, dim: DimSpec,
     body = sections.join(heads, ["file", "section"]).where(
         ~((F.col("block") == F.col("header_block")) & (F.col("idx") == F.col("header_idx")))
         & (F.col("line") != ""))
-    names = F.transform(csv_fields(F.col("header")), lambda x: F.lower(stripped(x)))
+    names = header_fields(F.col("header"))
     id_pos = F.array_position(names, dim.id_col.lower())
     name_pos = F.array_position(names, dim.name_col.lower())
     width = max(width, 1)

@@ -7,39 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Relations smaller than this are never re-split (the shuffle would cost more
-# than the parallelism gains).
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (file sizes for a plain scan).
-
-    PySpark has no public accessor for plan statistics, so this reads them
-    from the JVM plan; any failure counts as "unknown" (0: do not re-split).
-    """
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
-        return 0
-
-
-def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin repartition an under-split relation to the cluster's parallelism.
-
-    Used where heavy per-row work follows a scan (the raw fact input): a few
-    large unsplittable files (a gzip CSV, one huge parquet row group) would
-    otherwise run all of it in one task.  Inputs that already have at least
-    ``defaultParallelism`` splits -- every large table on a real cluster -- are
-    returned unchanged, so no shuffle is added.  Scans feeding an aggregation
-    are not spread: the partial aggregate in the scan task is cheaper than
-    shuffling every row first.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) < min_bytes or df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``<sf_dir>/<name>.parquet`` as a DataFrame (filters and projections push into the scan)."""

@@ -173,6 +173,7 @@ class FkSpec:
     fk: str
     dim_table: str
     dim_id: str
+    optional: bool = False     # checked only where the dimension exists
 
 
 @dataclass(frozen=True)

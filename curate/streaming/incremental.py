@@ -55,7 +55,8 @@ def raw_stream(spark: SparkSession, source_dir: str, names: list[str],
 def curated_stream(raw: DataFrame, spec: FactSpec, corrupt_col: str = "_corrupt_record",
                    dedupe: str | None = None) -> DataFrame:
     """Typed + standardised rows with per-row metric flags ``_corrupt``/``_cf<i>``."""
-    nulled = nullify(raw, spec.sentinel)
+    # the corrupt column stays as it is: a malformed line may read like the sentinel
+    nulled = nullify(raw, spec.sentinel, [c for c in raw.columns if c != corrupt_col])
     fails = cast_failure_predicates(spec.schema)
     typed = nulled.select(
         *[lenient_cast(q(f.name), f.dataType).alias(f.name) for f in spec.schema.fields],

@@ -108,16 +108,15 @@ def test_fk_check_shuffle_fallback_matches_broadcast(spark):
                 spark.conf.set(k, v)
 
 
-def test_spread_only_resplits_undersplit_inputs(spark, tmp_path):
-    from curate.sources.tables import spread
-    one = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    assert one._jdf.rdd().getNumPartitions() == 1
-    assert spread(one, min_bytes=0)._jdf.rdd().getNumPartitions() == \
-        spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=16)
-    assert spread(many, min_bytes=0)._jdf.rdd().getNumPartitions() == 16
-    tiny = spark.read.parquet(f"{SF_SMALL}/region.parquet")
-    assert spread(tiny)._jdf.rdd().getNumPartitions() == 1            # below the size floor
+def test_raw_rows_are_shuffled_only_on_request(spark, tmp_path):
+    from curate.plans.silver import SilverConfig, fact_plan
+    from curate.spec import ENCOUNTERS
+    spec = ENCOUNTERS.restrict(["encounter_id", "race"])
+    raw = spark.createDataFrame([("1", "a")], "encounter_id string, race string")
+    for n, want in ((None, False), (6, True)):
+        cfg = SilverConfig(base_dir=str(tmp_path), spec=spec, repartition_raw=n)
+        plan = fact_plan(spark, raw, cfg, {}, spec).observed._jdf.queryExecution().executedPlan().toString()
+        assert ("RoundRobinPartitioning" in plan) == want
 
 
 def test_all_null_column_profile(spark):

@@ -52,10 +52,65 @@ def test_failed_step_is_logged_and_raised(spark, tmp_path):
     with pytest.raises(Exception):
         curate_fact(spark, bad, cfg, log, {}, ENCOUNTERS)       # missing columns
     rec = read_step_log(spark, cfg.log_dir, log.run_id).collect()
-    assert [(r.step, r.status) for r in rec] == [("silver_fact_ingest__load_csv", "FAILED")]
+    # the columns are missed by the step that types them
+    assert [(r.step, r.status) for r in rec] == [("silver_fact_ingest__hard_schema_exact", "FAILED")]
     assert "error" in json.loads(rec[0].payload)
 
 
+def test_missing_input_fails_the_load_step(spark, tmp_path):
+    cfg = SilverConfig(base_dir=str(tmp_path / "run"), database=f"t_{uuid.uuid4().hex[:8]}")
+    log = StepLog(spark, cfg.log_dir)
+    with pytest.raises(Exception):
+        curate_fact(spark, str(tmp_path / "absent.csv"), cfg, log, {})
+    assert [(r["step"], r["status"]) for r in log.records] == [("silver_fact_ingest__load_csv", "FAILED")]
+
+
+def test_missing_dimension_fails_the_integrity_step_unless_optional(spark, tmp_path):
+    from dataclasses import replace
+    from curate.spec import ENCOUNTERS
+    spec = ENCOUNTERS.restrict(["encounter_id", "race", "admission_type_id"])
+    raw = spark.createDataFrame([("1", "a", "7")], "encounter_id string, race string, admission_type_id string")
+    cfg = SilverConfig(base_dir=str(tmp_path / "run"), spec=spec, database=f"t_{uuid.uuid4().hex[:8]}")
+    log = StepLog(spark, cfg.log_dir)
+    with pytest.raises(ValueError, match="no dimension table"):
+        curate_fact(spark, raw, cfg, log, {}, spec)
+    assert [(r["step"], r["status"]) for r in log.records] == [
+        ("silver_validation__referential_integrity", "FAILED")]
+    optional = replace(spec, fks=tuple(replace(k, optional=True) for k in spec.fks))
+    _, m = curate_fact(spark, raw, cfg, StepLog(spark, cfg.log_dir), {}, optional)
+    assert m["fk_validation"] == {} and m["rows_after"] == 1
+
+
+def test_string_orphans_do_not_depend_on_dimension_size(spark, tmp_path):
+    from dataclasses import replace
+    from pyspark.sql import types as T
+    from curate.spec import ENCOUNTERS, FkSpec
+    base = ENCOUNTERS.restrict(["encounter_id", "race"])
+    spec = replace(base, schema=T.StructType([*base.schema.fields, T.StructField("code", T.StringType())]),
+                   fks=(FkSpec("code", "d_code", "id"),))
+    raw = spark.createDataFrame([("1", "x", " a"), ("2", "x", "a"), ("3", "x", "b"), ("4", "x", None)],
+                                "encounter_id string, race string, code string")
+    dims = {"d_code": spark.createDataFrame([("a",)], "id string")}
+    found = []
+    for bound in (2_000_000, 0):
+        cfg = SilverConfig(base_dir=str(tmp_path / f"run{bound}"), spec=spec, broadcast_max_ids=bound,
+                           database=f"t_{uuid.uuid4().hex[:8]}")
+        _, m = curate_fact(spark, raw, cfg, StepLog(spark, cfg.log_dir), dims, spec)
+        found.append(m["fk_validation"]["code"])
+    assert found[0] == found[1] == {"valid_dim_values": 1, "orphaned_fact_rows": 2}
+
+
+def test_reused_run_id_goes_on_counting(spark, tmp_path):
+    from curate.plans.report import build_report
+    d = str(tmp_path / "log")
+    StepLog(spark, d, "r1").write("silver_fact_save", "FAILED", {})
+    again = StepLog(spark, d, "r1")
+    again.write("silver_fact_save", "SUCCESS", {"rows_saved": 5})
+    assert again.records[0]["seq"] == 2
+    rep = build_report(read_step_log(spark, d, "r1"), "p", "silver").first()
+    assert rep.steps_status == {"silver_fact_save": "SUCCESS"} and rep.output_rows == 5
+
+
 def test_step_context_manager(spark, tmp_path):
     log = StepLog(spark, str(tmp_path / "log"))
     with log.step("ok") as p:
@@ -71,7 +126,7 @@ def test_step_context_manager(spark, tmp_path):
 def test_bronze_extracts_expected_members_and_reports_missing(spark, tmp_path, stream):
     import io
     import zipfile
-    from curate.plans.bronze import BronzeConfig, run_bronze
+    from curate.plans.bronze import BronzeConfig, member_dir, run_bronze
     d = tmp_path / "zips"
     d.mkdir()
     for i in range(3):
@@ -87,10 +142,53 @@ def test_bronze_extracts_expected_members_and_reports_missing(spark, tmp_path, s
     rep = out["report"].first()
     assert rep.files_extracted == 3 and rep.archives_read == 3
     assert json.loads(rep.expected_missing) == ["IDS_mapping.csv"]
-    back = spark.read.option("header", True).csv(cfg.member_dir("diabetic_data.csv"))
+    back = spark.read.option("header", True).csv(member_dir(out["extract_dir"], "diabetic_data.csv"))
     assert sorted(r.encounter_id for r in back.collect()) == ["0", "1", "2"]
     payload = out["log"].records[-1]["payload"]
-    assert payload["exported_files_count"] == 3 and len(payload["exported_files"]) == 3
+    assert payload["exported_files_count"] == 3
+    assert spark.read.parquet(payload["exported_files"]).count() == 3
+    assert rep.csv_files_found == 3 and rep.total_rows == 3
+    assert rep.zip_size_mb == round(sum(p.stat().st_size for p in d.iterdir()) / (1 << 20), 2)
+
+
+@pytest.mark.parametrize("stream", [True, False])
+def test_bronze_rerun_reads_only_its_own_members(spark, tmp_path, stream):
+    import zipfile
+    from curate.plans.bronze import BronzeConfig, member_dir, run_bronze
+    for name, rows in (("one", "1\n"), ("two", "2\n")):
+        (tmp_path / name).mkdir()
+        with zipfile.ZipFile(tmp_path / name / f"{name}.zip", "w") as zf:
+            zf.writestr("x/f.csv", f"id\n{rows}")
+    for name, want in (("one", ["1"]), ("two", ["2"])):
+        cfg = BronzeConfig(base_dir=str(tmp_path / "b"), archive_path=str(tmp_path / name), expected=("f.csv",), stream=stream)
+        out = run_bronze(spark, cfg, run_id="same")
+        got = spark.read.option("header", True).csv(member_dir(out["extract_dir"], "f.csv")).collect()
+        assert [r.id for r in got] == want and out["manifest"].count() == 1
+
+
+def test_members_of_one_archive_are_read_by_several_tasks(spark, tmp_path):
+    import zipfile
+    from pyspark.sql import functions as F
+    from curate.sources.archive import expand_archives
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as zf:
+        for i in range(100):
+            zf.writestr(f"m/{i}.txt", f"text {i}")
+    rows = expand_archives(spark, str(tmp_path)).withColumn("p", F.spark_partition_id()).collect()
+    assert sorted(r.text for r in rows) == sorted(f"text {i}" for i in range(100))
+    assert len({r.p for r in rows}) > 1
+
+
+def test_members_that_an_archive_holds_twice_stay_apart(spark, tmp_path):
+    import warnings
+    import zipfile
+    from curate.sources.archive import extract_members
+    (tmp_path / "z").mkdir()
+    with warnings.catch_warnings(), zipfile.ZipFile(tmp_path / "z" / "a.zip", "w") as zf:
+        warnings.simplefilter("ignore")
+        zf.writestr("f.csv", "first")
+        zf.writestr("f.csv", "second")
+    assert extract_members(spark, str(tmp_path / "z"), str(tmp_path / "out")).count() == 2
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == ["first", "second"]
 
 
 def test_divert_mode_writes_bad_records_and_counts_them(spark, tmp_path):
