@@ -310,6 +310,21 @@ def test_chain_and_align():
     assert chaining.edit_matches(np.array([1, 2, 3, 4]), np.array([2, 9, 4])) == 2
 
 
+def test_chain_predecessor_within_gap():
+    parts = [(0, 0, 300), (500, 500, 20), (521, 522, 25)]
+    assert sorted(chaining.chain(parts, 40)) == [[parts[0]], parts[1:]]
+    rng = random.Random(5)
+    for _ in range(40):
+        parts = sorted({(rng.randrange(300), rng.randrange(300), rng.randint(1, 30)) for _ in range(rng.randint(2, 25))})
+        best: list[float] = []
+        for a, b, n in parts:  # the best predecessor by brute force
+            near = [best[y] - 0.05 * (a - p - m + b - q - m) for y, (p, q, m) in enumerate(parts[:len(best)]) if 0 <= a - p - m <= 40 and 0 <= b - q - m <= 40]
+            best.append(n + max([0.0, *near]))
+        top = chaining.chain(parts, 40)[0]
+        gaps = sum(y[0] - x[0] - x[2] + y[1] - x[1] - x[2] for x, y in zip(top, top[1:]))
+        assert math.isclose(sum(p[2] for p in top) - 0.05 * gaps, max(best))
+
+
 def test_fuzzy_passages(docs, empty):
     texts = {r.doc_id: (r.text or "").lower().split() for r in docs.collect()}
     got = chaining.fuzzy_passages(docs).collect()
