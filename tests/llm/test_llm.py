@@ -325,6 +325,27 @@ def test_chain_predecessor_within_gap():
         assert math.isclose(sum(p[2] for p in top) - 0.05 * gaps, max(best))
 
 
+def test_passages_through_differing_words(spark):
+    rng = random.Random(8)
+    word = lambda n, tag: [f"{tag}{rng.randrange(10 ** 9)}" for _ in range(n)]
+    x = np.arange(60, dtype=np.uint32)
+    y = x.copy()
+    y[[8, 52]] = 999
+    assert [p[:5] for p in chaining.passages(x, y, [(20, 20, 17)], 50, 0.8)] == [(0, 60, 0, 60, 58)]
+    # exact words that a bad gap chains together stay passages of their own
+    y = np.concatenate((x, np.arange(500, 530), x + 100)).astype(np.uint32)
+    z = np.concatenate((x, np.arange(700, 730), x + 100)).astype(np.uint32)
+    assert [p[:2] for p in chaining.passages(y, z, [(5, 5, 40), (95, 95, 40)], 50, 0.8)] == [(0, 60), (90, 150)]
+    # a word changed every eighth leaves one sampled 6-mer or two
+    rows, n = [], 40
+    for i in range(n):
+        own = word(64, "p")
+        rows.append((i, " ".join([*word(30, "a"), *own, *word(30, "b")])))
+        rows.append((1000 + i, " ".join([*word(40, "c"), *(f"new{i}" if k % 8 == 7 and k < 63 else w for k, w in enumerate(own)), *word(40, "d")])))
+    got = {(r.doc_id, r.ref_doc_id) for r in chaining.fuzzy_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect() if r.end_word - r.start_word >= 50}
+    assert sum((1000 + i, i) in got for i in range(n)) >= 0.8 * n
+
+
 def test_fuzzy_passages(docs, empty):
     texts = {r.doc_id: (r.text or "").lower().split() for r in docs.collect()}
     got = chaining.fuzzy_passages(docs).collect()
