@@ -346,6 +346,27 @@ def test_passages_through_differing_words(spark):
     assert sum((1000 + i, i) in got for i in range(n)) >= 0.8 * n
 
 
+def test_passage_of_frequent_lines(spark):
+    """Every line of the passage, and all but a word of each of two long ones, stand in other documents before."""
+    rng = random.Random(9)
+    word = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    texts: list[list[str]] = []
+    for length in [(20, 20, 20)] * 12 + [(49, 1)] * 6 + [(1, 49)] * 6 + [(30, 30)] * 6:
+        lines = [word(n) for n in length]
+        texts += [[*word(30), *line, *word(30)] for line in lines]
+        both = [w for line in lines for w in line]
+        texts += [[*word(30), *both, *word(30)], [*word(30), *both, *word(30)]]
+    wanted, seen = set(), {}
+    for i, own in enumerate(texts):
+        for at in range(len(own) - 49):
+            if seen.setdefault(tuple(own[at:at + 50]), i) < i:
+                wanted.add((i, at))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    rows = chaining.fuzzy_passages(df).collect()
+    missed = {(i, at) for i, at in wanted if not any(r.doc_id == i and r.start_word <= at and r.end_word >= at + 50 for r in rows)}
+    assert wanted and not missed
+
+
 def test_fuzzy_passages(docs, empty):
     texts = {r.doc_id: (r.text or "").lower().split() for r in docs.collect()}
     got = chaining.fuzzy_passages(docs).collect()
