@@ -367,6 +367,18 @@ def test_passage_of_frequent_lines(spark):
     assert wanted and not missed
 
 
+def test_passage_repeated_in_one_document(spark):
+    rng = random.Random(10)
+    word = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    passage = word(70)
+    once = [*word(200), *passage, *word(50)]
+    near = [f"new{i}" if i % 12 == 11 and i < 69 else w for i, w in enumerate(passage)]
+    twice = [*word(100), *passage, *word(830), *near, *word(20)]
+    df = spark.createDataFrame([(1, " ".join(once)), (2, " ".join(twice))], "doc_id bigint, text string")
+    got = {(r.doc_id, r.start_word, r.end_word, r.ref_start) for r in chaining.fuzzy_passages(df).collect()}
+    assert got == {(2, 100, 170, 200), (2, 1000, 1070, 200)}
+
+
 def test_fuzzy_passages(docs, empty):
     texts = {r.doc_id: (r.text or "").lower().split() for r in docs.collect()}
     got = chaining.fuzzy_passages(docs).collect()
