@@ -26,11 +26,19 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exactdedup.keep_one(docs)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own (``_row``), written once: ids may be null or repeated."""
+    return materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, Jaccard 0.8): the smallest doc_id."""
-    groups = jaccard.components(docs, size=5, threshold=(80, 100)).select(F.col("doc_id").alias("_id"), "component_id")
-    return (docs.join(groups.filter(F.col("_id") == F.col("component_id")).select("_id").distinct(), F.col("doc_id") == F.col("_id"), "left_semi")
-            .select(*docs.columns))
+    """One document of each group of near duplicates (five-word shingles, Jaccard 0.8): the smallest doc_id,
+    a null one only if there is no other.  Rows that share an id are documents of their own."""
+    rows = keyed(docs)
+    groups = jaccard.components(rows, size=5, threshold=(80, 100), id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    kept = (rows.select("_row", "doc_id").join(groups, "_row").groupBy("component_id")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))["_row"].alias("_row")))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +50,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as often as it is taken (copy 1 to 3), with its size and its source's target."""
-    mix = mixing.mix_sources(docs).filter("copies > 0").select(F.col("doc_id").alias("_id"), "size", "target", "copies")
-    return (docs.join(mix, F.col("doc_id") == F.col("_id"))
+    """The mix: each document as often as it is taken (copy 1 to 3), with its size and its source's target.
+    Rows with a null id, and rows that share one, are documents of their own."""
+    rows = keyed(docs)
+    mix = mixing.mix_sources(rows, carry=("_row",)).filter("copies > 0").select("_row", "size", "target", "copies")
+    return (rows.join(mix, "_row")
             .select(*docs.columns, "size", "target", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")))
 
 

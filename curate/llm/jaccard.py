@@ -348,10 +348,12 @@ class _Join:
         wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("entity")).distinct().join(self.entities.select("entity", "min_id"), "entity"), "wanted")
         ids = wanted.select(F.col("min_id").alias("doc_id"), F.col("entity").alias("_wanted"))
         few = wanted.count() <= BROADCAST_IDS
-        texts = self.docs.join(F.broadcast(ids) if few else ids, "doc_id")
+        texts = self.docs.join(F.broadcast(ids) if few else ids, "doc_id").select("text")
+        if not wanted.filter("min_id is null").isEmpty():  # sets that only rows with a null id have
+            texts = texts.unionByName(self.docs.filter("doc_id is null").select("text"))
         size, order, num, den = self.size, self.order, self.num, self.den
         # of rows that share an id, the text that makes the entity counts, once
-        sets = texts.select("text").mapInArrow(lambda b: _sets(b, size, order.value), "entity bigint, keys binary")
+        sets = texts.mapInArrow(lambda b: _sets(b, size, order.value), "entity bigint, keys binary")
         sets = materialise(sets.join(F.broadcast(wanted.select("entity")) if few else wanted.select("entity"), "entity", "left_semi").dropDuplicates(["entity"]), "sets")
         crowd = pairs.groupBy("a").agg(F.count("*").alias("n_b")).filter(F.col("n_b") > TREE)
         salted = pairs.join(crowd, "a", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.ceil(F.col("n_b") / TREE)), F.lit(0)).cast("bigint").alias("salt"))

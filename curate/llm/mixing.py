@@ -114,8 +114,9 @@ def plan(lengths: DataFrame, seed: int = SEED) -> DataFrame:
     return lengths.groupBy("source").applyInPandas(choose, "source string, size bigint, passes int, extra bigint")
 
 
-def mix_sources(docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source_size, target, copies, taken.
+def mix_sources(docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, size, source_size, target, copies, taken, and its ``carry`` columns.
 
     copies (0 to 3) is how often the mix takes the row, taken = copies * size.  A null text
     has size 0 and so has one without words; such rows are taken by whole passes
@@ -124,8 +125,8 @@ def mix_sources(docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", text_
     no rows.
     """
     size = F.coalesce(F.expr(r"regexp_count(_text, '[^\\x20\\x09-\\x0D]+')"), F.lit(0)).cast("bigint")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("_text"))
-    rows = materialise(rows.select("doc_id", "source", size.alias("size"), F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(PARTS)).alias("part")), "sizes")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("_text"), *carry)
+    rows = materialise(rows.select("doc_id", "source", *carry, size.alias("size"), F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(PARTS)).alias("part")), "sizes")
     counts = materialise(rows.groupBy("source", "size", "part").agg(F.count("*").alias("n")), "lengths")
     aims = materialise(targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))), "targets")
     lengths = counts.groupBy("source", "size").agg(F.sum("n").alias("n")).alias("a").join(
@@ -143,7 +144,7 @@ def mix_sources(docs: DataFrame, seed: int = SEED, id_col: str = "doc_id", text_
     aims = aims.withColumnRenamed("source", "_t")
     aims = F.broadcast(aims) if aims.count() <= 100_000 else aims
     return (out.join(aims, F.col("source").eqNullSafe(F.col("_t")))
-            .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("bigint").alias("taken")))
+            .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("bigint").alias("taken"), *carry))
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

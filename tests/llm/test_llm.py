@@ -411,6 +411,29 @@ def test_null_ids(spark):
     assert mixing.mix_sources(df.withColumn("source", df["text"])).count() == 4
 
 
+def test_null_and_repeated_ids_in_stages(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    text = lambda: [f"w{rng.randrange(10 ** 9)}" for _ in range(80)]
+    near, null, one, two, alone = text(), text(), text(), text(), text()
+    changed = lambda words: [*words[:-1], "other"]
+    rows = [(9, near), (3, changed(near)), (None, null), (None, changed(null)), (5, one), (5, two), (None, alone), (6, changed(alone))]
+    df = spark.createDataFrame([(i, " ".join(w), "en", "web", 1) for i, w in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = [(r.doc_id, r.text.split()) for r in corpus_pipeline.near_dedup(spark, df, "").collect()]
+    assert len(kept) == 5 and [w for i, w in kept if i is None] in ([null], [changed(null)])
+    assert (3, changed(near)) in kept and (5, one) in kept and (5, two) in kept and (6, changed(alone)) in kept
+    mixed = corpus_pipeline.mixing_sources(spark, df, "").collect()
+    taken = Counter((r.doc_id, r.text, r.copy) for r in mixed)
+    assert max(taken.values()) == 1 and {(r.doc_id, r.text) for r in mixed} == {(i, " ".join(w)) for i, w in rows}
+    groups = jaccard.components(df.filter("doc_id is null"), 5, (80, 100))
+    assert groups.filter("n_shingles > 0").count() == 3
+    pairs = jaccard._Join(df.filter("doc_id is null").select("doc_id", "text"), 5, (80, 100))
+    ent = [r.entity for r in pairs.rows.collect()]
+    every = spark.createDataFrame([(min(a, b), max(a, b)) for a in ent for b in ent if a < b], "a bigint, b bigint")
+    assert pairs.links(every).count() == 1
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
