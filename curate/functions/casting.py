@@ -48,6 +48,17 @@ def lenient_cast(c: Column | str, data_type: T.DataType | str) -> Column:
     return col.try_cast(dt)
 
 
+def lenient_cast_expr(name: str, dt: T.DataType) -> str:
+    """:func:`lenient_cast` of a quoted column as SQL text."""
+    kind = dt.simpleString()
+    if isinstance(dt, INTEGRAL_TYPES):
+        text = f"CAST({name} AS STRING)"
+        pattern = _DECIMAL_TEXT.replace("\\", "\\\\")
+        return (f"coalesce(try_cast({text} AS {kind}), "
+                f"try_cast(regexp_replace({text}, '{pattern}', '{_INTEGRAL_PART}') AS {kind}))")
+    return f"CAST({name} AS {kind})" if isinstance(dt, T.StringType) else f"try_cast({name} AS {kind})"
+
+
 def cast_failed(c: Column | str, data_type: T.DataType | str) -> Column:
     """True where a non-null value does not survive :func:`lenient_cast`."""
     col = _as_col(c)

@@ -5,7 +5,8 @@ driver.  Every id set is de-duplicated first, so a left join never multiplies
 fact rows.  Its size is counted (one small job for all dimensions -- the count
 is also the reported ``valid_dim_values``); a set within ``broadcast_max_ids``
 is broadcast, so all foreign keys are checked in the fact's single scan stage.
-For a larger set only the *counts* are computed, against the fact reduced to
+A larger set of integral ids is looked up in bitmaps (:mod:`curate.operators.idsets`).
+For any other only the *counts* are computed, against the fact reduced to
 one row per distinct key value -- the fact itself is never shuffled for it.
 """
 
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curate.operators.cleaning import q
+from curate.operators.idsets import (DEFAULT_BITMAP_MAX_BYTES, bitmap_sizes, id_bitmaps, is_integral,
+                                     with_membership)
 from curate.operators.metrics import counts_long
 from curate.sources.literal import literal_rows
 
@@ -63,15 +66,17 @@ def orphan_predicate(fk: str, hit_col: str) -> Column:
 def flag_fks(fact: DataFrame, fks: Sequence[tuple[str, DataFrame, str]],
              broadcast_max_ids: int = DEFAULT_BROADCAST_MAX_IDS,
              persisted: list[DataFrame] | None = None,
-             large: list[tuple[str, DataFrame]] | None = None
-             ) -> tuple[DataFrame, list[tuple[str, str]], dict[str, int]]:
+             large: list[tuple[str, DataFrame]] | None = None,
+             bitmap_max_bytes: int = DEFAULT_BITMAP_MAX_BYTES) -> tuple[DataFrame, list[tuple[str, str]], dict[str, int]]:
     """Add one hit column per foreign key.
 
     Returns ``(flagged, [(fk, hit_col)], {fk: valid_dim_values})``.  The
     persisted id sets are appended to ``persisted`` so a caller can release
-    them once the flagged frame has been consumed.  With ``large`` given, keys
-    whose id set exceeds the broadcast bound are not joined but appended to it
-    as ``(fk, ids)``, to be counted with :func:`orphan_count_preaggregated`.
+    them once the flagged frame has been consumed.  An integral key whose id set
+    exceeds the broadcast bound is looked up in bitmaps, if those are within
+    ``bitmap_max_bytes``.  With ``large`` given, keys for which neither holds are
+    not joined but appended to it as ``(fk, ids)``, to be counted with
+    :func:`orphan_count_preaggregated`.
     """
     # The id sets are small and used twice (size check, then the join): persist
     # them so the dimension side is computed once.  Lost blocks are recomputed.
@@ -80,8 +85,18 @@ def flag_fks(fact: DataFrame, fks: Sequence[tuple[str, DataFrame, str]],
     sizes = id_set_sizes(id_sets)
     if persisted is not None:
         persisted.extend(id_sets.values())
+    over = {fk for fk, ids in id_sets.items() if sizes[fk] > broadcast_max_ids
+            and is_integral(fact, fk) and is_integral(ids, ID)}
+    bitmaps = {fk: id_bitmaps(id_sets[fk], ID).persist(StorageLevel.MEMORY_AND_DISK) for fk in over}
+    if persisted is not None:
+        persisted.extend(bitmaps.values())
+    bitmap_bytes = {fk: size for fk, (_, size) in bitmap_sizes(bitmaps).items()}
     hits = []
     for i, (fk, _, _) in enumerate(fks):
+        if bitmap_bytes.get(fk, bitmap_max_bytes + 1) <= bitmap_max_bytes:
+            fact = with_membership(fact, fk, bitmaps[fk], f"_fk_hit_{i}")
+            hits.append((fk, f"_fk_hit_{i}"))
+            continue
         if large is not None and sizes[fk] > broadcast_max_ids:
             large.append((fk, id_sets[fk]))
             continue

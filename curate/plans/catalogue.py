@@ -18,17 +18,19 @@ from curate.functions.casting import lenient_cast
 from curate.functions.text import basename
 from curate.operators.cleaning import apply_schema, cast_profile, cols_of, nullify, q, with_null
 from curate.operators.dedupe import dedupe, dedupe_stats
+from curate.operators.idsets import (distinct_counts, distinct_partials, fk_check_bitmaps, merge_partials,
+                                     orphans_bitmaps)
 from curate.operators.integrity import fk_check, missing_expected, orphans
 from curate.operators.profile import ingest_metrics, key_stats, null_profile, top_null_columns
 from curate.operators.rules import active_violations, check_rules
 from curate.operators.standardise import curate
 from curate.operators.summary import (grouped_mean, share_of_group, summary_counts, top_k)
 from curate.plans import oracle as O
-from curate.plans.fixtures import encounters_raw, encounters_spec, mapping_lines
+from curate.plans.fixtures import encounters_full, encounters_raw, encounters_spec, mapping_lines
 from curate.sources.lines import (header_widths, route_sections, section_headers,
                                   section_to_dim, split_sections)
 from curate.sources.tables import load
-from curate.spec import DIMENSIONS, ENCOUNTERS, FactSpec
+from curate.spec import DIMENSIONS, ENCOUNTER_COLUMNS, ENCOUNTERS, FactSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,13 +65,13 @@ def _typed(spark, sf_dir):
     return apply_schema(nulled, spec.schema), spec
 
 
-def _clean(spark, sf_dir):
+def _clean(spark, sf_dir, one_pass: bool = False):
     typed, spec = _typed(spark, sf_dir)
-    return dedupe(typed, spec.key), spec
+    return dedupe(typed, spec.key, one_pass=one_pass), spec
 
 
-def _curated(spark, sf_dir):
-    clean, spec = _clean(spark, sf_dir)
+def _curated(spark, sf_dir, one_pass: bool = False):
+    clean, spec = _clean(spark, sf_dir, one_pass)
     return curate(clean, spec), spec
 
 
@@ -213,7 +215,7 @@ def _null_union(rel: str) -> str:
 SELECT {_ID('column')}, null_count, {O.half_up_pct('null_count', 'total')} AS null_pct
 FROM ({_null_union('clean')}) WHERE null_count > 0""")
 def null_profile_q(spark, sf_dir):
-    return null_profile(_clean(spark, sf_dir)[0])
+    return null_profile(_clean(spark, sf_dir, one_pass=True)[0])
 
 
 @register("top_null_columns", f"""{CTES}
@@ -222,7 +224,7 @@ SELECT {_ID('column')}, null_count, null_pct FROM (
   FROM ({_null_union('clean')}) WHERE null_count > 0)
 ORDER BY null_pct DESC, ordinal ASC LIMIT 5""")
 def top_null_columns_q(spark, sf_dir):
-    return top_null_columns(_clean(spark, sf_dir)[0], 5)
+    return top_null_columns(_clean(spark, sf_dir, one_pass=True)[0], 5)
 
 
 # --------------------------------------------------------------------------
@@ -333,6 +335,40 @@ def fk_orphan_rows(spark, sf_dir):
     return orphans(clean, "admission_source_id", dim, "admission_source_id")
 
 
+_LARGE_FKS = (("l_orderkey", "orders", "o_orderkey", "o_orderstatus = 'F'"), ("l_partkey", "part", "p_partkey", "p_size > 10"),
+              ("l_suppkey", "supplier", "s_suppkey", "s_acctbal > 0"))
+
+
+@register("fk_orphan_counts_large", "\nUNION ALL\n".join(f"""
+SELECT '{fk}' AS fk, CAST((SELECT count(DISTINCT {key}) FROM {dim} WHERE {cond}) AS BIGINT) AS valid_dim_values,
+       CAST(count_if({fk} IS NOT NULL AND {fk} NOT IN (SELECT {key} FROM {dim} WHERE {cond})) AS BIGINT) AS orphaned_fact_rows FROM lineitem"""
+    for fk, dim, key, cond in _LARGE_FKS))
+def fk_orphan_counts_large(spark, sf_dir):
+    """Three keys of the largest table against dimensions of any size, as bitmaps, in one scan."""
+    return fk_check_bitmaps(load(spark, sf_dir, "lineitem"), [
+        (fk, load(spark, sf_dir, dim).where(cond), key) for fk, dim, key, cond in _LARGE_FKS])
+
+
+@register("fk_orphan_rows_large", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
+def fk_orphan_rows_large(spark, sf_dir):
+    customers = load(spark, sf_dir, "customer").where("c_acctbal > 0")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return orphans_bitmaps(orders, "o_custkey", customers, "c_custkey")
+
+
+@register("distinct_merged_parts", """
+SELECT l_returnflag, l_linestatus, CAST(count(*) AS BIGINT) AS line_count, CAST(count(DISTINCT l_orderkey) AS BIGINT) AS unique_orders
+FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def distinct_merged_parts(spark, sf_dir):
+    """Exact distinct counts folded from the bitmaps of four parts of the table (by supplier, so that
+    orders are in several of them)."""
+    li, by = load(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"]
+    parts = [distinct_partials(li.where(F.pmod("l_suppkey", F.lit(4)) == k), by, "l_orderkey") for k in range(4)]
+    return distinct_counts(merge_partials(parts, by), by, "line_count", "unique_orders")
+
+
 @register("fk_empty_dimension", f"""{CTES}
 SELECT 'admission_type_id' AS fk, CAST(0 AS BIGINT) AS valid_dim_values,
        CAST(count_if(admission_type_id IS NOT NULL) AS BIGINT) AS orphaned_fact_rows FROM clean""")
@@ -381,13 +417,13 @@ def _rules_sql(active_only: bool) -> str:
 
 @register("rule_violations", _rules_sql(False))
 def rule_violations(spark, sf_dir):
-    curated, spec = _curated(spark, sf_dir)
+    curated, spec = _curated(spark, sf_dir, one_pass=True)
     return check_rules(curated, spec.rules)
 
 
 @register("active_violations", _rules_sql(True))
 def active_violations_q(spark, sf_dir):
-    curated, spec = _curated(spark, sf_dir)
+    curated, spec = _curated(spark, sf_dir, one_pass=True)
     return active_violations(check_rules(curated, spec.rules))
 
 
@@ -430,6 +466,50 @@ def curated_fact(spark, sf_dir):
     return _curated(spark, sf_dir)[0]
 
 
+# --------------------------------------------------------------------------
+# The full extract: all 50 columns, all 38 rules
+# --------------------------------------------------------------------------
+
+def _full_typed(spark, sf_dir):
+    raw = with_null(encounters_full(spark, sf_dir), "_corrupt_record")
+    return apply_schema(nullify(raw, ENCOUNTERS.sentinel), ENCOUNTERS.schema)
+
+
+def _full_curated(spark, sf_dir, one_pass: bool = False):
+    return curate(dedupe(_full_typed(spark, sf_dir), ENCOUNTERS.key, one_pass=one_pass), ENCOUNTERS)
+
+
+_FULL = O.full_ctes()
+
+
+@register("full_curated_fact", f"""{_FULL}
+SELECT * FROM curated""")
+def full_curated_fact(spark, sf_dir):
+    return _full_curated(spark, sf_dir)
+
+
+@register("full_rule_violations", O.full_rules_sql())
+def full_rule_violations(spark, sf_dir):
+    return check_rules(_full_curated(spark, sf_dir, one_pass=True), ENCOUNTERS.rules)
+
+
+@register("full_cast_failures", f"""{_FULL}
+SELECT {_ID('column')}, target_type, failed_rows, {O.half_up_pct('failed_rows', 'total')} AS failure_rate_pct FROM (
+{chr(10).join(f"{'UNION ALL ' if i else ''}SELECT '{c}' AS {_ID('column')}, '{'bigint' if i < 2 else 'int'}' AS target_type, CAST(count_if(n.{c} IS NOT NULL AND {O.lenient_cast_sql('n.' + c, T.LongType() if i < 2 else T.IntegerType())} IS NULL) AS BIGINT) AS failed_rows, CAST(count(*) AS BIGINT) AS total FROM nulled n"
+              for i, c in enumerate(O.WHOLE_NUMBERS))}) WHERE failed_rows > 0""")
+def full_cast_failures(spark, sf_dir):
+    raw = with_null(encounters_full(spark, sf_dir), "_corrupt_record")
+    return cast_profile(nullify(raw, ENCOUNTERS.sentinel), ENCOUNTERS.schema)
+
+
+@register("full_null_profile", f"""{_FULL}
+SELECT {_ID('column')}, null_count, {O.half_up_pct('null_count', 'total')} AS null_pct FROM (
+{chr(10).join(f"{'UNION ALL ' if i else ''}SELECT {O.lit(c)} AS {_ID('column')}, CAST(count_if({_ID(c)} IS NULL) AS BIGINT) AS null_count, CAST(count(*) AS BIGINT) AS total FROM clean"
+              for i, c in enumerate(ENCOUNTER_COLUMNS))}) WHERE null_count > 0""")
+def full_null_profile(spark, sf_dir):
+    return null_profile(dedupe(_full_typed(spark, sf_dir), ENCOUNTERS.key, one_pass=True))
+
+
 # --------------------------------------------------------------------------
 # Summaries
 # --------------------------------------------------------------------------

@@ -14,56 +14,32 @@ known dimension sections, one unknown section, stray separators -- from
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curate.plans.oracle import FURTHER_EXPRS, RAW_COLUMNS, RAW_EXPRS
 from curate.sources.literal import literal_rows
 from curate.sources.tables import load
-from curate.spec import ENCOUNTERS, FactSpec
-
-
-def _case(k: Column, mod: int, values: list[str]) -> Column:
-    """``CASE k % mod WHEN 0 THEN v0 ... ELSE v_last`` (values has ``mod`` entries or fewer)."""
-    r = k % mod
-    expr = F.when(r == 0, F.lit(values[0]))
-    for i, v in enumerate(values[1:-1], start=1):
-        expr = expr.when(r == i, F.lit(v))
-    return expr.otherwise(F.lit(values[-1]))
+from curate.spec import ENCOUNTER_COLUMNS, ENCOUNTERS, FactSpec
 
 
-def encounters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def encounters_raw(spark: SparkSession, sf_dir: str,
+                   columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
     """All-string encounter rows derived from ``orders`` (15,300 rows at sf0.01)."""
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     # One scan: every order yields one row, and a second identical row when its
     # key is a multiple of 50 (the injected exact duplicates).
-    copies = F.when(F.col("o_orderkey") % 50 == 0, 1).otherwise(0)
-    rows = o.select("*", F.explode(F.sequence(F.lit(0), copies)).alias("_copy")).drop("_copy")
-    k, c, p = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")
-    s = lambda x: x.cast("string")
-    return rows.select(
-        F.when(k % 997 == 0, F.concat(F.lit("E"), s(k))).otherwise(s(k)).alias("encounter_id"),
-        F.when(k % 331 == 0, F.concat(s(c), F.lit(".7"))).otherwise(s(c)).alias("patient_nbr"),
-        _case(k, 5, ["AfricanAmerican", "Caucasian", " asian", " ? ", "Other"]).alias("race"),
-        _case(k, 7, ["Unknown/Invalid", "male", " FEMALE ", "Female", "Male"]).alias("gender"),
-        F.when(k % 101 == 0, F.lit("unknown")).when(k % 103 == 0, F.lit("?"))
-         .otherwise(F.concat(F.lit("["), s(F.lit(10) * (c % 10)), F.lit("-"),
-                             s(F.lit(10) * (c % 10) + 10), F.lit(")"))).alias("age"),
-        F.when(k % 211 == 0, F.lit("99")).when(k % 223 == 0, F.lit("?"))
-         .otherwise(F.substring(p, 1, 1)).alias("admission_type_id"),
-        s(F.lit(1) + k % 25).alias("discharge_disposition_id"),
-        s(F.lit(1) + k % 5).alias("admission_source_id"),
-        s(k % 15).alias("time_in_hospital"),
-        F.when(k % 89 == 0, F.lit("n/a")).otherwise(s(k % 60 - 1)).alias("num_lab_procedures"),
-        s(k % 10).alias("number_diagnoses"),
-        F.when(k % 17 == 0, F.lit("?")).otherwise(F.concat(F.lit("250."), s(c % 83))).alias("diag_1"),
-        F.when(k % 307 == 0, F.lit("high")).when(k % 4 == 0, F.lit("None"))
-         .when(k % 4 == 1, F.lit("Norm")).when(k % 4 == 2, F.lit(">200"))
-         .otherwise(F.lit(">300")).alias("max_glu_serum"),
-        _case(k, 6, ["No", "steady", " UP", "Down", "Maybe", "?"]).alias("metformin"),
-        _case(k, 4, ["Ch", "No", "CH ", "Maybe"]).alias("change"),
-        _case(k, 3, ["yes", "No", "?"]).alias("diabetesMed"),
-        _case(k, 9, [">30", "<30", "no", "later", "NO"]).alias("readmitted"),
-    )
+    rows = load(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "o_orderpriority",
+        "explode(sequence(0, CASE WHEN o_orderkey % 50 = 0 THEN 1 ELSE 0 END)) AS _copy")
+    exprs = {**RAW_EXPRS, **FURTHER_EXPRS}
+    return rows.selectExpr(*[f"{exprs[c]} AS `{c}`" for c in columns])
+
+
+def encounters_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract with all 50 columns."""
+    return encounters_raw(spark, sf_dir, ENCOUNTER_COLUMNS)
 
 
 def encounters_spec(raw: DataFrame, spec: FactSpec = ENCOUNTERS) -> FactSpec:
