@@ -28,6 +28,50 @@ def counts_long(df: DataFrame, named: Sequence[tuple[str, Column]], name_col: st
                         value_col, total_col, ordinal_col)
 
 
+# --------------------------------------------------------------------------
+# Which predicates hold together
+# --------------------------------------------------------------------------
+
+BITS_PER_MASK = 62
+
+
+def mask_histogram(df: DataFrame, named: Sequence[tuple[str, Column]]) -> DataFrame:
+    """``_mask0[, _mask1...], _rows``: rows by the set of predicates that hold for them.
+
+    Bit ``i % 62`` of mask ``i // 62`` stands for predicate ``i``.  Rows are folded per
+    task before the shuffle; there are as many groups as combinations that occur.
+    """
+    masks = []
+    for lo in range(0, max(len(named), 1), BITS_PER_MASK):
+        bits = [F.when(pred, F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
+                for i, (_, pred) in enumerate(named[lo:lo + BITS_PER_MASK])]
+        mask = F.lit(0).cast("long")
+        for b in bits:
+            mask = mask.bitwiseOR(b)
+        masks.append(mask.alias(f"_mask{len(masks)}"))
+    flat = df.select(*masks)
+    return flat.groupBy(*flat.columns).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _holds(i: int) -> Column:
+    return F.getbit(F.col(f"_mask{i // BITS_PER_MASK}"), F.lit(i % BITS_PER_MASK)) == 1
+
+
+def counts_from_masks(histogram: DataFrame, names: Sequence[str], name_col: str = "name",
+                      value_col: str = "value") -> DataFrame:
+    """Per predicate the number of rows for which it holds (as :func:`counts_long` without a total)."""
+    wide = histogram.agg(F.lit(0).alias("_total"), *[
+        F.coalesce(F.sum(F.when(_holds(i), F.col("_rows"))), F.lit(0)).alias(f"_m{i}") for i in range(len(names))])
+    return explode_wide(wide, [(n, f"_m{i}") for i, n in enumerate(names)], name_col, value_col, None)
+
+
+def patterns(histogram: DataFrame, names: Sequence[str], pattern_col: str = "pattern",
+             value_col: str = "rows") -> DataFrame:
+    """``pattern, <value_col>``: the names that hold together (in order, comma-joined; ``""``: none)."""
+    held = F.array_compact(F.array(*[F.when(_holds(i), F.lit(n)) for i, n in enumerate(names)])) if names else F.array().cast("array<string>")
+    return histogram.select(F.array_join(held, ",").alias(pattern_col), F.col("_rows").alias(value_col))
+
+
 def explode_wide(wide: DataFrame, names: Sequence[tuple[str, str]], name_col: str,
                  value_col: str, total_col: str | None = "total",
                  ordinal_col: str | None = None) -> DataFrame:

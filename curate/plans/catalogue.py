@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curate.functions.casting import lenient_cast
+from curate.functions.jsonfmt import utc_iso
 from curate.functions.text import basename
 from curate.operators.cleaning import apply_schema, cast_profile, cols_of, nullify, q, with_null
 from curate.operators.dedupe import dedupe, dedupe_stats
 from curate.operators.idsets import (distinct_counts, distinct_partials, fk_check_bitmaps, merge_partials,
                                      orphans_bitmaps)
 from curate.operators.integrity import fk_check, missing_expected, orphans
+from curate.operators.metrics import mask_histogram, patterns
 from curate.operators.profile import ingest_metrics, key_stats, null_profile, top_null_columns
 from curate.operators.rules import active_violations, check_rules
 from curate.operators.standardise import curate
@@ -427,6 +429,31 @@ def active_violations_q(spark, sf_dir):
     return active_violations(check_rules(curated, spec.rules))
 
 
+def _pattern_sql(rel: str, named: list[tuple[str, str]]) -> str:
+    parts = ", ".join(f"CASE WHEN {cond} THEN {O.lit(n)} END" for n, cond in named)
+    return f"""{CTES}
+SELECT pattern, CAST(count(*) AS BIGINT) AS rows FROM (SELECT concat_ws(',', {parts}) AS pattern FROM {rel}) GROUP BY pattern"""
+
+
+@register("rule_patterns", _pattern_sql("curated", [(r.name, O.rule_sql(r)) for r in _SPEC.rules]))
+def rule_patterns(spark, sf_dir):
+    """Which rules are violated together, and by how many rows."""
+    curated, spec = _curated(spark, sf_dir, one_pass=True)
+    return patterns(mask_histogram(curated, [(r.name, r.violated()) for r in spec.rules]), [r.name for r in spec.rules])
+
+
+@register("null_patterns", _pattern_sql("clean", [(c, f"{_ID(c)} IS NULL") for c in _SPEC.columns]))
+def null_patterns(spark, sf_dir):
+    """Which columns are null together, and in how many rows."""
+    clean, spec = _clean(spark, sf_dir, one_pass=True)
+    return patterns(mask_histogram(clean, [(c, q(c).isNull()) for c in spec.columns]), spec.columns)
+
+
+@register("events_utc_iso", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts_utc FROM events")
+def events_utc_iso(spark, sf_dir):
+    return load(spark, sf_dir, "events").select("event_id", utc_iso("ts").alias("ts_utc"))
+
+
 # --------------------------------------------------------------------------
 # Standardisation and derived features
 # --------------------------------------------------------------------------

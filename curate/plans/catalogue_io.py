@@ -24,10 +24,10 @@ from curate.plans import oracle as O
 from curate.plans.catalogue import CTES, _SPEC, register
 from curate.plans.fixtures import encounters_raw, encounters_spec, mapping_lines
 from curate.plans.silver import SilverConfig, run_silver
-from curate.plans.sinks import ensure_db, save_table
+from curate.plans.sinks import ensure_db, publish_table, roll_back, save_table, table_versions
 from curate.session import shared_dir
 from curate.sources.archive import expand_archives
-from curate.sources.csv import read_permissive_csv
+from curate.sources.csv import divert_corrupt, read_permissive_csv
 from curate.sources.tables import load
 
 _ID = O.ident
@@ -173,7 +173,7 @@ def run_fixture_silver(spark: SparkSession, sf_dir: str) -> dict:
     spec = encounters_spec(raw)
     cfg = SilverConfig(base_dir=base, spec=spec, database=f"curate_{uuid.uuid4().hex[:10]}",
                        pipeline_name="Encounters - Silver Layer ETL")
-    return run_silver(spark, cfg, csv_dir, mapping_lines(spark, sf_dir), spec=spec)
+    return run_silver(spark, cfg, csv_dir, mapping_lines(spark, sf_dir), spec=spec) | {"report_path": cfg.report_path}
 
 
 REPORT_COLUMNS = ("pipeline", "layer", "total_steps", "step_count", "success_steps", "input_rows",
@@ -348,6 +348,123 @@ def bad_records(spark, sf_dir):
         F.count_distinct(F.split("value", ",")[first]).alias("bad_ids"))
 
 
+@register("bad_records_origin", f"""{CTES}
+SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(count_if(encounter_id LIKE '%13') AS BIGINT) AS bad_rows,
+       CAST(count_if(encounter_id LIKE '%13') AS BIGINT) AS with_origin,
+       CAST(count_if(encounter_id NOT LIKE '%13') AS BIGINT) AS good_rows FROM raw""")
+def bad_records_origin(spark, sf_dir):
+    """Good and bad lines parted in one read of the input, the bad ones with file and block."""
+    base = shared_dir(spark, "split")
+    raw = encounters_raw(spark, sf_dir)
+    dirty = raw.withColumn("race", F.when(F.col("encounter_id").endswith("13"), F.concat(F.col("race"), F.lit(", extra")))
+                           .otherwise(F.col("race")))
+    write_csv(dirty, f"{base}/csv", quote=False)
+    good, n_bad = divert_corrupt(read_permissive_csv(spark, f"{base}/csv", raw.columns), f"{base}/staged", f"{base}/bad")
+    told = F.col("file").endswith(".csv") & (F.col("block") >= 0) & (F.length("record") > 0)
+    rows = good.select(F.lit(0).alias("bad"), F.lit(0).alias("told")).unionAll(
+        spark.read.parquet(f"{base}/bad_origin").select(F.lit(1), told.cast("int")))
+    return rows.agg(F.count(F.lit(1)).alias("input_rows"), F.lit(n_bad).cast("long").alias("bad_rows"),
+                    F.sum("told").alias("with_origin"), F.count_if(F.col("bad") == 0).alias("good_rows"))
+
+
+# --------------------------------------------------------------------------
+# Published tables, the written report, the compacted log, a resumed run
+# --------------------------------------------------------------------------
+
+@register("published_versions", """
+SELECT 'published' AS state, CAST(count(*) AS BIGINT) AS rows, CAST(sum(c_custkey) AS BIGINT) AS keys FROM customer WHERE c_acctbal > 0
+UNION ALL SELECT 'after failure', CAST(count(*) AS BIGINT), CAST(sum(c_custkey) AS BIGINT) FROM customer WHERE c_acctbal > 0
+UNION ALL SELECT 'rolled back', CAST(count(*) AS BIGINT), CAST(sum(c_custkey) AS BIGINT) FROM customer""")
+def published_versions(spark, sf_dir):
+    """A table published twice, a third time by a job that fails on the way, then rolled back."""
+    base, db = shared_dir(spark, "publish"), f"curate_{uuid.uuid4().hex[:10]}"
+    ensure_db(spark, db, f"{base}/{db}.db")
+    name, customers = f"{db}.customer", load(spark, sf_dir, "customer")
+    states = []
+
+    def note(state):
+        # the files of the moment, as later versions change what the name stands for
+        spark.catalog.refreshTable(name)
+        states.append(spark.read.parquet(table_versions(spark, name)[0]).agg(F.count(F.lit(1)).alias("rows"), F.sum("c_custkey").alias("keys"))
+                      .select(F.lit(state).alias("state"), "rows", "keys"))
+
+    publish_table(customers, name, f"{base}/customer")
+    publish_table(customers.where("c_acctbal > 0"), name, f"{base}/customer")
+    note("published")
+    broken = customers.withColumn("c_custkey", F.when(F.col("c_custkey") % 100 == 7, F.raise_error(F.lit("stop")).cast("long")).otherwise(F.col("c_custkey")))
+    try:
+        publish_table(broken, name, f"{base}/customer")
+    except Exception as e:
+        if "stop" not in str(e):
+            raise
+    note("after failure")
+    roll_back(spark, name)
+    note("rolled back")
+    return states[0].unionAll(states[1]).unionAll(states[2])
+
+
+_DOCUMENT = ("pipeline", "layer", "total_steps", "input_rows", "duplicates_removed", "columns_with_nulls", "output_rows", "quality_score_pct")
+
+
+@register("report_document", f"""
+WITH r AS ({_REPORT_SQL})
+SELECT {", ".join(_DOCUMENT)}, CAST(10 AS BIGINT) AS steps_succeeded, true AS timestamp_is_utc_iso,
+       constraint_violations AS violations_of_rules, columns_with_nulls AS columns_in_details FROM r""")
+def report_document_q(spark, sf_dir):
+    """The report as the run wrote it: status of every step, time stamp, nested metrics."""
+    out = run_fixture_silver(spark, sf_dir)
+    schema = ("pipeline string, layer string, execution_timestamp string, total_steps long, steps_status map<string, string>, "
+              "data_quality_metrics struct<input_rows: long, duplicates_removed: long, columns_with_nulls: long, output_rows: long, quality_score_pct: double, "
+              "missing_values_details: map<string, struct<null_count: long, null_pct: double>>, violations_by_constraint: map<string, long>>")
+    doc = spark.read.schema(schema).json(out["report_path"]).select("*", "data_quality_metrics.*")
+    return doc.select(
+        *_DOCUMENT, F.size(F.map_filter("steps_status", lambda k, v: v == "SUCCESS")).cast("long").alias("steps_succeeded"),
+        F.col("execution_timestamp").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?Z$").alias("timestamp_is_utc_iso"),
+        F.aggregate(F.map_values("violations_by_constraint"), F.lit(0).cast("long"), lambda a, b: a + b).alias("violations_of_rules"),
+        F.size("missing_values_details").cast("long").alias("columns_in_details"))
+
+
+@register("log_compaction_report", _REPORT_SQL)
+def log_compaction_report(spark, sf_dir):
+    """The report from the compacted log, beside an unfinished run that stays in its text files."""
+    from curate.plans import silver as S
+    from curate.plans.report import build_report
+    from curate.plans.steplog import StepLog, compact_log
+    from curate.sources.steplog import read_step_log
+    out = run_fixture_silver(spark, sf_dir)
+    log_dir, run_id = out["log"].log_dir, out["run_id"]
+    StepLog(spark, log_dir).write(S.STEP_DIMS, "SUCCESS", {})
+    for _ in range(2):                                                   # again: nothing changes
+        assert compact_log(spark, log_dir, f"{log_dir}_compacted", (S.STEP_SUMMARY,)) == [run_id]
+    log = read_step_log(spark, log_dir, run_id, compacted=f"{log_dir}_compacted")
+    return build_report(log, "Encounters - Silver Layer ETL", "silver").select(*REPORT_COLUMNS)
+
+
+@register("resumed_run_report", f"""
+SELECT * EXCLUDE (total_steps), CAST(1 AS BIGINT) AS steps_skipped, CAST(1 AS BIGINT) AS failed_records FROM ({_REPORT_SQL})""")
+def resumed_run_report(spark, sf_dir):
+    """A run whose fact step fails, resumed under its id: the dimensions are not built again."""
+    from curate.plans import silver as S
+    from curate.sources.steplog import read_step_log
+    base, raw = shared_dir(spark, "resume"), encounters_raw(spark, sf_dir)
+    write_csv(raw, f"{base}/csv")
+    spec = encounters_spec(raw)
+    mapping_lines(spark, sf_dir).select("file", "block", "idx", "line").write.parquet(f"{base}/mapping")
+    lines = spark.read.parquet(f"{base}/mapping")
+    cfg = SilverConfig(base_dir=base, spec=spec, database=f"curate_{uuid.uuid4().hex[:10]}", pipeline_name="Encounters - Silver Layer ETL")
+    broken = replace(spec, schema=encounters_spec(raw).schema, key=("no_such_column",))
+    try:
+        run_silver(spark, cfg, f"{base}/csv", lines, spec=broken, run_id="r1", resume=True)
+    except Exception as e:
+        if "no_such_column" not in str(e):
+            raise
+    out = run_silver(spark, cfg, f"{base}/csv", lines, spec=spec, run_id="r1", resume=True)
+    failed = read_step_log(spark, cfg.log_dir, "r1").where("status = 'FAILED'").count()
+    assert out["skipped"] == [S.STEP_DIMS]
+    return out["report"].select(*[c for c in REPORT_COLUMNS if c != "total_steps"],
+                                F.lit(len(out["skipped"])).cast("long").alias("steps_skipped"), F.lit(failed).cast("long").alias("failed_records"))
+
+
 # --------------------------------------------------------------------------
 # Incremental (streaming) curation
 # --------------------------------------------------------------------------

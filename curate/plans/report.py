@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curate.functions.jsonfmt import field, format_metric, payload, utc_now_iso
+from curate.functions.jsonfmt import format_metric, parsed, payload, utc_now_iso, variant_field
 
 
 @dataclass(frozen=True)
@@ -70,19 +70,19 @@ def build_report(log: DataFrame, pipeline: str, layer: str,
     """One-row report: ``pipeline, layer, execution_timestamp, total_steps, step_count,
     success_steps, steps_status, <metrics...>[, quality_score_pct]``.
     """
+    # only the last record of a step counts: its payload is parsed, once
     per_step = log.groupBy("step").agg(
         F.count(F.lit(1)).alias("_records"),
         F.max("seq").alias("_last_seq"),
         F.max_by("status", "seq").alias("_status"),
         F.max_by("timestamp_utc", "seq").alias("_ts"),
-        *[F.max_by(field(F.col("payload"), m.path), F.col("seq")).alias(f"_m{i}")
-          for i, m in enumerate(metrics)],
-    )
-    values = []
-    for i, m in enumerate(metrics):
-        raw = F.max(F.when(F.col("step") == m.step, F.col(f"_m{i}")))
-        v = raw.try_cast(m.data_type) if m.data_type != "string" else raw
-        values.append(F.coalesce(v, F.lit(m.default).cast(m.data_type)).alias(m.name))
+        F.max_by("payload", "seq").alias("_payload"),
+    ).select("*", parsed("_payload").alias("_fields"))
+    per_step = per_step.select("step", "_records", "_last_seq", "_status", "_ts", *[
+        F.when(F.col("step") == m.step, variant_field("_fields", m.path, m.data_type)).alias(f"_m{i}")
+        for i, m in enumerate(metrics)])
+    values = [F.coalesce(F.max(f"_m{i}"), F.lit(m.default).cast(m.data_type)).alias(m.name)
+              for i, m in enumerate(metrics)]
     report = per_step.agg(
         F.sum("_records").cast("long").alias("total_steps"),
         F.count(F.lit(1)).alias("step_count"),

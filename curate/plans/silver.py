@@ -17,6 +17,7 @@ write the table, then the summaries read the saved (columnar, pruned) table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -34,9 +35,9 @@ from curate.operators.profile import key_stats
 from curate.operators.standardise import curate
 from curate.operators.summary import grouped_mean, share_of_group, summary_counts, top_k
 from curate.plans.report import SILVER_METRICS, build_report, report_document
-from curate.plans.sinks import ensure_db, save_table, write_report
-from curate.plans.steplog import FAILED, SUCCESS, StepLog
-from curate.sources.csv import read_permissive_csv, write_bad_records
+from curate.plans.sinks import ensure_db, publish_table, write_report
+from curate.plans.steplog import FAILED, FINGERPRINT, SUCCESS, StepLog
+from curate.sources.csv import divert_corrupt, read_permissive_csv
 from curate.sources.lines import (header_widths, route_sections, section_headers,
                                   section_to_dim, split_sections)
 from curate.sources.steplog import read_step_log
@@ -102,9 +103,11 @@ def pct_half_up(n: int, total: int) -> float | None:
 # --------------------------------------------------------------------------
 
 def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
-               log: StepLog) -> dict[str, DataFrame]:
+               log: StepLog, fingerprint: str | None = None) -> dict[str, DataFrame]:
     """Parse, validate and save every dimension section of a mapping file."""
     with log.step(STEP_DIMS) as payload:
+        if fingerprint:
+            payload[FINGERPRINT] = fingerprint
         ensure_db(spark, cfg.database, f"{cfg.tables_dir}/{cfg.database}.db")
         # Parsed once, reused by every dimension (lost blocks are recomputed).
         sections = split_sections(lines).persist(StorageLevel.MEMORY_AND_DISK)
@@ -118,8 +121,8 @@ def build_dims(spark: SparkSession, lines: DataFrame, cfg: SilverConfig,
                 continue
             name = cfg.table(d.table)
             n, width = per_dim[d.table]
-            save_table(section_to_dim(sections, routed, d, n_sections=n, width=width), name, cfg.fmt,
-                       path=f"{cfg.tables_dir}/{d.table}")
+            publish_table(section_to_dim(sections, routed, d, n_sections=n, width=width), name,
+                          f"{cfg.tables_dir}/{d.table}", cfg.fmt)
             dims[d.table] = spark.table(name)
         validation = dim_key_stats(dims, {d.table: d.id_col for d in cfg.dims})
         payload.update(sections_parsed=sum(n for n, _ in per_dim.values()),
@@ -191,17 +194,15 @@ def fact_plan(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
         raw = read_permissive_csv(spark, source, corrupt_col=corrupt)
     else:
         raw = with_null(source, corrupt)
-    if cfg.repartition_raw:
+    if cfg.repartition_raw and cfg.on_corrupt != "divert":
         raw = raw.repartition(cfg.repartition_raw)
     raw_cols = [c for c in raw.columns if c != corrupt]
     diverted = None
     if cfg.on_corrupt == "divert":
-        obs_bad = Observation("bad_records")
-        write_bad_records(raw.where(q(corrupt).isNotNull())
-                          .observe(obs_bad, F.count(F.lit(1)).alias("n")),
-                          cfg.bad_records_dir, corrupt)
-        diverted = int(obs_bad.get["n"])
-        raw = raw.where(q(corrupt).isNull())
+        raw, diverted = divert_corrupt(raw, f"{cfg.bad_records_dir}_staged_{uuid.uuid4().hex[:12]}",
+                                       cfg.bad_records_dir, corrupt, isinstance(source, str))
+        if cfg.repartition_raw:
+            raw = raw.repartition(cfg.repartition_raw)
 
     # -- typed rows + per-row metric flags ------------------------------------
     # the corrupt column stays as it is: a malformed line may read like the sentinel
@@ -261,7 +262,8 @@ def _rewritten(spec: FactSpec) -> set[str]:
 
 def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
                 log: StepLog, dims: dict[str, DataFrame],
-                spec: FactSpec | None = None) -> tuple[DataFrame, dict]:
+                spec: FactSpec | None = None,
+                fingerprint: str | None = None) -> tuple[DataFrame, dict]:
     """Load, profile, type, dedupe, check, standardise and save the fact.
 
     Returns ``(saved table, metrics)``; every step gets one log record.  A
@@ -272,7 +274,8 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
     input_desc = source if isinstance(source, str) else "<dataframe>"
     steps, persisted = [STEP_LOAD], []
     try:
-        return _curate_fact(spark, source, cfg, log, dims, spec, input_desc, persisted, steps.append)
+        return _curate_fact(spark, source, cfg, log, dims, spec, input_desc, persisted, steps.append,
+                            fingerprint)
     except Exception as e:
         log.write(steps[-1], FAILED, {"input_csv": input_desc,
                                       "bad_records_dir": cfg.bad_records_dir, "error": str(e)})
@@ -284,13 +287,14 @@ def curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig,
 
 def _curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig, log: StepLog,
                  dims: dict[str, DataFrame], spec: FactSpec, input_desc: str,
-                 persisted: list[DataFrame], at: Callable[[str], None]) -> tuple[DataFrame, dict]:
+                 persisted: list[DataFrame], at: Callable[[str], None],
+                 fingerprint: str | None = None) -> tuple[DataFrame, dict]:
     corrupt = cfg.corrupt_col
     plan = fact_plan(spark, source, cfg, dims, spec, persisted, at)
     at(STEP_SAVE)
     table = cfg.table(spec.name)
     ensure_db(spark, cfg.database, f"{cfg.tables_dir}/{cfg.database}.db")
-    saved_info = save_table(plan.observed, table, cfg.fmt, path=f"{cfg.tables_dir}/{spec.name}")
+    saved_info = publish_table(plan.observed, table, f"{cfg.tables_dir}/{spec.name}", cfg.fmt)
     m1, m2 = plan.obs_clean.get, plan.obs_rules.get
     # Keys whose dimension is too large to broadcast are counted pre-aggregated per key
     # value: on the saved (columnar) table, or on the typed rows where saving changes the key.
@@ -363,7 +367,7 @@ def _curate_fact(spark: SparkSession, source: str | DataFrame, cfg: SilverConfig
         "total_violations": sum(violations.values()),
         "violations_by_constraint": violations}))
 
-    entries.append((STEP_SAVE, SUCCESS, saved_info))
+    entries.append((STEP_SAVE, SUCCESS, saved_info | ({FINGERPRINT: fingerprint} if fingerprint else {})))
     log.write_many(entries)
     metrics = {"input_rows": input_rows, "corrupt_rows": corrupt_rows, "rows_after": rows_after,
                "casting_failures": failures, "missing_values": missing,
@@ -407,17 +411,51 @@ def silver_report(spark: SparkSession, cfg: SilverConfig, run_id: str) -> DataFr
     return build_report(log, cfg.pipeline_name, "silver")
 
 
+def input_fingerprint(spark: SparkSession, source: str | DataFrame) -> str:
+    """A digest of the files behind an input: their names, sizes and times (their bytes are not read).
+
+    A frame that reads no files is told by its plan.
+    """
+    paths = [source] if isinstance(source, str) else source.inputFiles()
+    if not paths:
+        return f"plan-{source.semanticHash()}"
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+             .select(F.xxhash64("path", "length", "modificationTime").alias("h"), "length"))
+    r = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"), F.bit_xor("h").alias("h")).first()
+    return f"files-{r['n']}-{r['bytes'] or 0}-{r['h'] or 0}"
+
+
 def run_silver(spark: SparkSession, cfg: SilverConfig, fact_source: str | DataFrame,
                mapping_lines: DataFrame, spec: FactSpec | None = None,
-               run_id: str | None = None, write: bool = True) -> dict:
-    """Dimensions, fact, summaries, report.  Returns the produced frames and metrics."""
+               run_id: str | None = None, write: bool = True, resume: bool = False) -> dict:
+    """Dimensions, fact, summaries, report.  Returns the produced frames and metrics.
+
+    With ``resume``, steps of ``run_id`` that were committed on the same input are not run again:
+    their tables are read as they were saved, and their records stay in the log, so the
+    report of a run that failed half-way and was resumed has the metrics of one that did not fail.
+    Steps whose input has changed since, and all steps after a failed one, run.
+    """
     log = StepLog(spark, cfg.log_dir, run_id)
     spec = spec or cfg.spec
-    dims = build_dims(spark, mapping_lines, cfg, log)
-    fact, metrics = curate_fact(spark, fact_source, cfg, log, dims, spec)
+    marks = ({k: input_fingerprint(spark, x) for k, x in ((STEP_DIMS, mapping_lines), (STEP_SAVE, fact_source))}
+             if resume else {})
+    skipped = []
+    dims = None
+    if resume and log.committed(STEP_DIMS, marks[STEP_DIMS]):
+        dims = {d.table: spark.table(cfg.table(d.table)) for d in cfg.dims
+                if spark.catalog.tableExists(cfg.table(d.table))}
+        skipped.append(STEP_DIMS)
+    else:
+        dims = build_dims(spark, mapping_lines, cfg, log, marks.get(STEP_DIMS))
+    saved = log.committed(STEP_SAVE, marks[STEP_SAVE]) if resume and skipped else None
+    if saved and spark.catalog.tableExists(cfg.table(spec.name)):
+        fact, metrics = spark.table(cfg.table(spec.name)), {"saved": saved}
+        skipped.append(STEP_SAVE)
+    else:
+        fact, metrics = curate_fact(spark, fact_source, cfg, log, dims, spec, marks.get(STEP_SAVE))
     summaries = run_summaries(fact, spec, log)
     report = silver_report(spark, cfg, log.run_id)
     if write:
         write_report(report_document(report, SILVER_METRICS), cfg.report_path)
     return {"run_id": log.run_id, "dims": dims, "fact": fact, "metrics": metrics,
-            "summaries": summaries, "report": report, "log": log}
+            "summaries": summaries, "report": report, "log": log, "skipped": skipped}

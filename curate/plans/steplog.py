@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
@@ -21,12 +22,30 @@ from curate.sources.literal import literal_rows
 from curate.sources.steplog import read_step_log
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
+# Payload field that ties a committed step to the input it was run on.
+FINGERPRINT = "input_fingerprint"
 
 
 def utc_iso() -> str:
     return datetime.now(timezone.utc).replace(tzinfo=None).isoformat() + "Z"
 
 
+def compact_log(spark: SparkSession, log_dir: str, compacted: str, final_steps: Sequence[str]) -> list[str]:
+    """Fold finished runs into one columnar file each under ``compacted``; returns their ids.
+
+    A run is finished when the last record of one of ``final_steps`` is a success.  Folding
+    replaces whole runs (dynamic partition overwrite), so a repeated or interrupted
+    compaction, and a run that went on after it was folded, give the same table.
+    """
+    log = read_step_log(spark, log_dir)
+    last = log.where(F.col("step").isin(list(final_steps))).groupBy("run_id", "step").agg(F.max_by("status", "seq").alias("status"))
+    done = last.where(F.col("status") == SUCCESS).select("run_id").distinct()
+    rows = log.join(F.broadcast(done), "run_id", "left_semi")          # one short id for each run
+    (rows.repartition("run_id").sortWithinPartitions("run_id", "seq").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(compacted))
+    return sorted(r["run_id"] for r in done.collect())
+
+
 class StepLog:
     """Writes step records under ``log_dir`` (one small text part file per record)."""
 
@@ -47,6 +66,20 @@ class StepLog:
             return 0
         return int(log.agg(F.max("seq")).first()[0] or 0)
 
+    def committed(self, step: str, fingerprint: str) -> dict | None:
+        """The payload of the step's last record in this run, if it succeeded on the same input."""
+        try:
+            log = read_step_log(self.spark, self.log_dir, self.run_id)
+            last = log.where(F.col("step") == step).orderBy(F.desc("seq")).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        if last is None or last["status"] != SUCCESS:
+            return None
+        found = json.loads(last["payload"])
+        return found if found.get(FINGERPRINT) == fingerprint else None
+
     def write(self, step: str, status: str, payload: dict) -> dict:
         return self.write_many([(step, status, payload)])[0]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,35 @@ def corrupt_text(df: DataFrame, corrupt_col: str = CORRUPT) -> Column:
     return F.when(probe >= 0, F.col(corrupt_col))
 
 
+#: Where a diverted row came from: its file, and the start of the block it was read in.
+ORIGIN = {"_bad_file": "_metadata.file_path", "_bad_block": "_metadata.file_block_start"}
+
+
+def divert_corrupt(raw: DataFrame, staged: str, bad_records_dir: str, corrupt_col: str = CORRUPT,
+                   from_files: bool = True) -> tuple[DataFrame, int]:
+    """``(good rows, number of bad rows)``, reading ``raw`` once.
+
+    One write parts the rows by a flag into ``staged`` (Parquet); the raw text of the bad
+    ones, with their origin, goes from there to ``bad_records_dir`` (a line each) and
+    ``{bad_records_dir}_origin`` (Parquet: file, block, record).  Later steps read the good part,
+    which is columnar and typed, instead of parsing the input again.
+    """
+    data = [c for c in raw.columns if c != corrupt_col]
+    origin = [F.col(src).alias(name) for name, src in ORIGIN.items()] if from_files else [
+        F.lit(None).cast(t).alias(name) for name, t in zip(ORIGIN, ("string", "long"))]
+    seen = Observation()
+    flagged = raw.select("*", *origin).withColumn("_bad", F.col(corrupt_col).isNotNull())
+    flagged.observe(seen, F.count_if("_bad").alias("n")).write.partitionBy("_bad").parquet(staged)
+    spark, schema = raw.sparkSession, T.StructType([*flagged.schema.fields])
+    parts = spark.read.schema(schema).parquet(staged)
+    good = parts.where("NOT _bad").select(*[F.col(f"`{c}`") for c in data], F.col(corrupt_col))
+    bad = parts.where("_bad")
+    bad.select(corrupt_col).write.mode("overwrite").text(bad_records_dir)
+    (bad.select(F.col("_bad_file").alias("file"), F.col("_bad_block").alias("block"), F.col(corrupt_col).alias("record"))
+     .write.mode("overwrite").parquet(f"{bad_records_dir}_origin"))
+    return good, int(seen.get["n"] or 0)
+
+
 def write_bad_records(bad: DataFrame, path: str, corrupt_col: str = CORRUPT) -> None:
     """Write the raw text of malformed rows, one per line."""
     bad.select(corrupt_text(bad, corrupt_col).alias(corrupt_col)).write.mode("overwrite").text(path)
