@@ -27,6 +27,8 @@ from curate.plans.silver import SilverConfig, run_silver
 from curate.plans.sinks import ensure_db, publish_table, roll_back, save_table, table_versions
 from curate.session import shared_dir
 from curate.sources.archive import expand_archives
+from curate.sources.archive_lines import read_archive_lines
+from curate.sources.archive_lines import register as register_archive_lines
 from curate.sources.csv import divert_corrupt, read_permissive_csv
 from curate.sources.tables import load
 
@@ -141,6 +143,39 @@ def bronze_members(spark, sf_dir):
     return members.join(files, "file", "left").select("page_id", F.coalesce("value", F.lit("")).alias("text"))
 
 
+_LINES_SQL = """
+SELECT page_id, CAST(i - 1 AS BIGINT) AS line_no, lines[i] AS line FROM (
+  SELECT page_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (
+    SELECT page_id, string_split(CASE WHEN t LIKE '%' || chr(10) THEN t[:-2] ELSE t END, chr(10)) AS lines FROM (
+      SELECT page_id, replace(replace(coalesce(html, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS t FROM pages)
+    WHERE t <> ''))"""
+
+
+def _page_zips(spark, sf_dir) -> str:
+    base = shared_dir(spark, "lines")
+    pages = load(spark, sf_dir, "pages").select(
+        "page_id", "html", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE).cast("long").alias("bucket"))
+    pages.groupBy("bucket").applyInPandas(_page_member_writer(f"{base}/zips"), "bucket long, members long").count()
+    return f"{base}/zips"
+
+
+def _page_lines(lines: DataFrame) -> DataFrame:
+    return lines.select(F.split("member_path", "/")[1].cast("long").alias("page_id"), "line_no", "line")
+
+
+@register("archive_lines", _LINES_SQL)
+def archive_lines(spark, sf_dir):
+    """Members of many archives as lines; a member is never one value."""
+    return _page_lines(read_archive_lines(spark, _page_zips(spark, sf_dir), ("page.html",)))
+
+
+@register("archive_lines_source", _LINES_SQL)
+def archive_lines_source(spark, sf_dir):
+    """The same through the data source, a partition a member."""
+    register_archive_lines(spark)
+    return _page_lines(spark.read.format("archive_lines").option("members", "page.html").load(_page_zips(spark, sf_dir)))
+
+
 # --------------------------------------------------------------------------
 # Saved table round trip
 # --------------------------------------------------------------------------
