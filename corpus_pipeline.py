@@ -3,11 +3,15 @@ removal, benchmark decontamination, and mixing of sources.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next stage's documents.  All but the last return the
-columns of ``documents``.
+columns of ``documents``, and any further ones as they came.  Empty texts have no letter and go
+with the first stage; the others keep them as they keep any text.  An empty table stays empty.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +19,38 @@ from curate.llm import decontaminate, exactdedup, jaccard, langid, mixing
 from curate.llm.textbytes import materialise
 
 
+#: The columns of ``documents``.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def own_columns(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage that meets further columns under names that no operator uses, so that none is
+    overwritten or clashes; they come out under their own names and with their own values.
+    Of the last stage's columns its own stay where an input column has the same name."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        further = {c: f"_further_{k}" for k, c in enumerate(docs.columns) if c not in COLUMNS}
+        out = stage(spark, docs.withColumnsRenamed(further), sf_dir)
+        made = {c.lower() for c in out.columns if c not in further.values()}
+        lost = [name for c, name in further.items() if c.lower() in made]
+        return out.drop(*lost).withColumnsRenamed({name: c for c, name in further.items()})
+
+    return run
+
+
+@own_columns
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without a letter, and long ones with a narrow margin, go."""
-    found = langid.identify(spark, docs, langid.learn(docs))
+    """Documents whose language is told; those without a letter, and long ones with a narrow margin, go.
+    Where no document has a language there is none to tell: then only those without a letter go."""
+    known = langid.learn(docs)
+    if not known:
+        return docs.filter(F.trim(langid.letters(F.col("text"))) != "")
+    found = langid.identify(spark, docs, known)
     return found.filter(~langid.rejected()).select(*docs.columns)
 
 
+@own_columns
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id."""
     return exactdedup.keep_one(docs)
@@ -31,6 +61,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
 
+@own_columns
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, Jaccard 0.8): the smallest doc_id,
     a null one only if there is no other.  Rows that share an id are documents of their own."""
@@ -41,6 +72,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
+@own_columns
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of the benchmark; those that consist of them go."""
     found = decontaminate.find_phrases(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -49,6 +81,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return clean.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
+@own_columns
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document as often as it is taken (copy 1 to 3), with its size and its source's target.
     Rows with a null id, and rows that share one, are documents of their own."""
