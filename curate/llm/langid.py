@@ -13,17 +13,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curate.llm.textbytes import buffer, crc32_mod
 
-#: The fitted sample: documents of a language at most, characters of each, bytes of the dictionary.
+#: The fitted sample: distinct texts of a language at most, characters of each, bytes of its dictionary.
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 1_000, 112, 112_000
-#: Languages at most (those with the most documents), which bounds what is broadcast.
-LANGUAGES = 256
+#: Bytes of all dictionaries together: with more languages than fit, each has an equal, smaller part.
+ALL_BYTES = 32 << 20
 PIECE = 4_096
-LEVEL = 5
+#: The level every text meets, and the finer one (matches from 3 bytes on) that settles equal sizes.
+LEVEL, FINE = 5, 19
 
 
 def letters(text: Column) -> Column:
@@ -31,34 +32,56 @@ def letters(text: Column) -> Column:
     return F.regexp_replace(F.lower(text.cast("string")), r"[^\p{L}]+", " ")
 
 
-def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id") -> dict[str, bytes]:
+def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, bytes]:
     """language -> dictionary content, from labelled ``docs`` (null languages and texts are left out).
 
-    The sample per language is those documents whose hashed id is smallest, so it is the same
-    whatever the partitioning; SAMPLE_DOCS, SAMPLE_CHARS and LANGUAGES bound it.
+    A language's sample is its distinct texts of smallest hash, one excerpt of each from a place
+    that the hash picks within the whole text, so it is the same whatever the partitioning and
+    repeated rows count once.  SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES and ALL_BYTES bound the sample;
+    every language is learnt, one without letters in its texts with an empty dictionary.
+    A hash bound from each language's approximate number of texts thins the rows
+    before they are gathered, about twice as many as the sample needs.
     """
-    labelled = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id")).filter("lang is not null and text is not null")
-    known = [r.lang for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    ranked = labelled.filter(F.length(F.trim("text")) > 0).select("lang", F.substring(letters(F.col("text")), 1, SAMPLE_CHARS).alias("text"), F.xxhash64("id", F.lit(3)).alias("h"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    rows = ranked.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE_DOCS).drop("nth").collect()
+    labelled = (docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+                .filter("lang is not null and text is not null").withColumn("h", F.xxhash64("text", F.lit(3))))
+    worded = F.col("text").rlike(r"\p{L}")
+    distinct = {r.lang: r.n or 0 for r in labelled.groupBy("lang").agg(F.approx_count_distinct(F.when(worded, F.col("h")), 0.03).alias("n")).collect()}
+    if not distinct:
+        return {}
+    own_bytes = min(DICT_BYTES, ALL_BYTES // len(distinct))
+    most = max(1, min(SAMPLE_DOCS, own_bytes // SAMPLE_CHARS))
+    bound = [(lang, min((1 << 63) - 1, int(2 * most / max(n, 1) * (1 << 64)) - (1 << 63))) for lang, n in distinct.items()]
+    bounds = docs.sparkSession.createDataFrame(bound, "_lang string, bound bigint")
+    whole = letters(F.col("text"))
+    start = 1 + F.pmod(F.hash("h"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS + 1))
+    rows = (labelled.join(F.broadcast(bounds), F.col("lang") == F.col("_lang")).filter((F.col("h") <= F.col("bound")) & worded)
+            .select("lang", "h", whole.alias("text")).select("lang", "h", F.substring("text", start, F.lit(SAMPLE_CHARS)).alias("text"))
+            .distinct().collect())
     out: dict[str, bytes] = {}
-    for lang in sorted(known):
-        texts = sorted((r.h, r.text) for r in rows if r.lang == lang)
-        out[lang] = b"\n".join(dict.fromkeys(t.encode() for _, t in texts))[:DICT_BYTES]
+    samples: dict[str, list[tuple[int, str]]] = {lang: [] for lang in sorted(distinct)}
+    for r in rows:
+        samples[r.lang].append((r.h, r.text))
+    for lang, texts in samples.items():
+        out[lang] = b"\n".join(dict.fromkeys(t.encode() for _, t in sorted(texts)[:most]))[:own_bytes]
     return out
 
 
 class Compressors:
     """One zstandard compressor a language; built once in a Python worker."""
 
-    def __init__(self, dictionaries: dict[str, bytes]):
+    def __init__(self, dictionaries: dict[str, bytes], fine: bool = False):
         self.names = list(dictionaries)
         self.compress = []
         for content in dictionaries.values():
-            own = zstandard.ZstdCompressionDict(content or b"\0" * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            own.precompute_compress(level=LEVEL)
-            self.compress.append(zstandard.ZstdCompressor(dict_data=own, write_checksum=False, write_content_size=False, write_dict_id=False).compress)
+            content = content or b"\0" * 8
+            own = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            if fine:
+                how = zstandard.ZstdCompressionParameters.from_level(FINE, source_size=PIECE, dict_size=len(content), min_match=3, write_checksum=0, write_content_size=0, write_dict_id=0)
+                own.precompute_compress(compression_params=how)
+                self.compress.append(zstandard.ZstdCompressor(dict_data=own, compression_params=how).compress)
+            else:
+                own.precompute_compress(level=LEVEL)
+                self.compress.append(zstandard.ZstdCompressor(dict_data=own, write_checksum=False, write_content_size=False, write_dict_id=False).compress)
 
     def sizes(self, raw: bytes) -> list[int]:
         pieces = [raw[i:i + PIECE] for i in range(0, len(raw), PIECE)]
@@ -69,8 +92,9 @@ def identify(spark: SparkSession, docs: DataFrame, dictionaries: dict[str, bytes
     """Every column of ``docs`` plus lang_pred, score and margin.
 
     lang_pred is ``und`` (score and margin 0) where the text is null or has no letter, or when no
-    language is known.  Otherwise it is the language with the smallest size (ties: the
-    first by name), score = runner-up / (best + runner-up) is 0.5 to 1, and
+    language is known.  Otherwise it is the language with the smallest size (where several have it,
+    the smallest under a finer compression of the text written twice counts, since zstandard stores short
+    texts as they are unless something repeats; then the first by name), score = runner-up / (best + runner-up) is 0.5 to 1, and
     margin = 1 - best / runner-up.  Input columns named like an output are replaced.
     """
     held = spark.sparkContext.broadcast(dictionaries)
@@ -83,7 +107,7 @@ def identify(spark: SparkSession, docs: DataFrame, dictionaries: dict[str, bytes
         f.nullable = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = Compressors(held.value)
+        tools, fine = Compressors(held.value), None
         for batch in batches:
             buf, at = buffer(batch.column("_text"))
             lang, score, margin = [], [], []
@@ -93,6 +117,9 @@ def identify(spark: SparkSession, docs: DataFrame, dictionaries: dict[str, bytes
                     lang.append("und"), score.append(0.0), margin.append(0.0)
                     continue
                 sizes = tools.sizes(own)
+                if sizes.count(min(sizes)) > 1:
+                    fine = fine or Compressors(held.value, fine=True)
+                    sizes = fine.sizes(own + b" " + own)
                 order = np.argsort(sizes, kind="stable")
                 best = sizes[order[0]]
                 second = sizes[order[1]] if len(order) > 1 else 2 * best
@@ -102,10 +129,9 @@ def identify(spark: SparkSession, docs: DataFrame, dictionaries: dict[str, bytes
     return data.mapInArrow(run, schema)
 
 
-def rejected(min_margin: float = 0.01, min_bytes: int = 400, text_col: str = "text"):
-    """True for rows of ``identify`` to turn away: no language, or a narrow margin in a
-    text long enough for the margin to mean something."""
-    return (F.col("lang_pred") == "und") | ((F.octet_length(text_col) >= min_bytes) & (F.col("margin") < min_margin))
+def rejected(min_margin: float = 0.01) -> Column:
+    """True for rows of ``identify`` to turn away, whatever their length: no language, or a narrow margin."""
+    return (F.col("lang_pred") == "und") | (F.col("margin") < min_margin)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
