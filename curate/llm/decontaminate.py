@@ -291,8 +291,23 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), "spans")
+        (F.col("n_hit") > 0).alias("contaminated"))
 
 
 QUERIES = {"op7_benchmark_decontamination": op7_benchmark_decontamination}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op7_benchmark_decontamination": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+items AS (SELECT item_id, w, least(len(w), 10) AS size FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS gram
+            FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM items)),
+grams AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS gram
+          FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+                FROM d JOIN (SELECT DISTINCT size FROM windows) ON len(w) >= size)),
+found AS (SELECT doc_id, item_id, i, size FROM grams JOIN windows USING (size, gram)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
+runs AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+         FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN runs USING (doc_id)"""}
