@@ -14,10 +14,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curate.llm.textbytes import materialise
+
 #: Labelled urls that the trees are fitted on (about; a hash of the url picks them).
 LABELLED = 20_000
-#: Host and file suffixes whose frequency is kept (the most common ones).
-SUFFIXES = 1_000
+#: Host and file suffixes whose counts are broadcast (the most common ones, of at most so many
+#: characters); the counts of all others are joined by a shuffle, with equal results.
+SUFFIXES, SUFFIX_CHARS = 1_000, 256
 SEED = 7
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -67,11 +70,23 @@ def lexical(df: DataFrame) -> DataFrame:
 
 
 def suffix_share(df: DataFrame, column: str, out: str) -> DataFrame:
-    """``out``: log share of the rows with the row's suffix, over all rows; rare suffixes get 0."""
-    counts = df.groupBy(column).agg(F.count("*").alias("_n"))
+    """``out``: log share of the rows with the row's suffix, over all rows, for every suffix.
+
+    The commonest suffixes, the only hot ones, are broadcast.  Rows of others meet their count by a
+    shuffle; rows already served are spread over it by a hash, so that they don't meet in one task.
+    """
+    counts = materialise(df.groupBy(column).agg(F.count("*").alias("_n")), "suffixes")
     total = counts.agg(F.sum("_n")).first()[0] or 1
-    top = counts.orderBy(F.desc("_n"), column).limit(SUFFIXES).select(F.col(column).alias("_suffix"), F.log1p(F.col("_n") * F.lit(1e6 / total)).alias(out))
-    return df.join(F.broadcast(top), F.col(column) == F.col("_suffix"), "left").withColumn(out, F.coalesce(out, F.lit(0.0))).drop("_suffix")
+    known = counts.select(F.col(column).alias("_suffix"), F.log1p(F.col("_n") * F.lit(1e6 / total)).alias("_share"), "_n")
+    short = F.length("_suffix") <= SUFFIX_CHARS
+    top = known.filter(short).orderBy(F.desc("_n"), "_suffix").limit(SUFFIXES).select("_suffix", "_share")
+    served = df.join(F.broadcast(top), F.col(column) == F.col("_suffix"), "left").withColumnRenamed("_share", out).drop("_suffix")
+    if counts.count() <= SUFFIXES and known.filter(~short).isEmpty():
+        return served
+    rest = known.join(F.broadcast(top.select("_suffix")), "_suffix", "left_anti").select("_suffix", "_share", F.lit(0).cast("bigint").alias("_salt"))
+    spread = F.when(F.col(out).isNull(), F.lit(0)).otherwise(F.xxhash64("url") | F.lit(1)).cast("bigint")
+    return (served.withColumn("_spread", spread).join(rest, (F.col(column) == F.col("_suffix")) & (F.col("_spread") == F.col("_salt")), "left")
+            .withColumn(out, F.coalesce(out, "_share")).drop("_suffix", "_share", "_salt", "_spread"))
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -79,6 +94,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
 
     A null url or one without :// has an empty host and path, fits no rule and is judged by its
     features.  Without labelled urls the method allows, with labels of one kind it gives that kind.
+    Repeated rows and ids, null ones too, are judged each on its own.  Further columns are not read.
     """
     urls = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
     urls = urls.withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))})
