@@ -70,7 +70,7 @@ def lexical(df: DataFrame) -> DataFrame:
 
 
 def suffix_share(df: DataFrame, column: str, out: str) -> DataFrame:
-    """``out``: log share of the rows with the row's suffix, over all rows, for every suffix.
+    """``out``: log share of the rows with the row's suffix, over all rows, for every suffix (null: 0).
 
     The commonest suffixes, the only hot ones, are broadcast.  Rows of others meet their count by a
     shuffle; rows already served are spread over it by a hash, so that they don't meet in one task.
@@ -82,11 +82,11 @@ def suffix_share(df: DataFrame, column: str, out: str) -> DataFrame:
     top = known.filter(short).orderBy(F.desc("_n"), "_suffix").limit(SUFFIXES).select("_suffix", "_share")
     served = df.join(F.broadcast(top), F.col(column) == F.col("_suffix"), "left").withColumnRenamed("_share", out).drop("_suffix")
     if counts.count() <= SUFFIXES and known.filter(~short).isEmpty():
-        return served
+        return served.withColumn(out, F.coalesce(out, F.lit(0.0)))
     rest = known.join(F.broadcast(top.select("_suffix")), "_suffix", "left_anti").select("_suffix", "_share", F.lit(0).cast("bigint").alias("_salt"))
-    spread = F.when(F.col(out).isNull(), F.lit(0)).otherwise(F.xxhash64("url") | F.lit(1)).cast("bigint")
+    spread = F.when(F.col(out).isNull(), F.lit(0)).otherwise(F.xxhash64("url").bitwiseOR(F.lit(1).cast("bigint"))).cast("bigint")
     return (served.withColumn("_spread", spread).join(rest, (F.col(column) == F.col("_suffix")) & (F.col("_spread") == F.col("_salt")), "left")
-            .withColumn(out, F.coalesce(out, "_share")).drop("_suffix", "_share", "_salt", "_spread"))
+            .withColumn(out, F.coalesce(out, "_share", F.lit(0.0))).drop("_suffix", "_share", "_salt", "_spread"))
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
