@@ -171,7 +171,7 @@ def archive_lines(spark, sf_dir):
 
 @register("archive_lines_source", _LINES_SQL)
 def archive_lines_source(spark, sf_dir):
-    """The same through the data source, a partition a member."""
+    """The same through the data source, a partition a group of members."""
     register_archive_lines(spark)
     return _page_lines(spark.read.format("archive_lines").option("members", "page.html").load(_page_zips(spark, sf_dir)))
 

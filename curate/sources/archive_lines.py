@@ -6,9 +6,9 @@ of bounded size, so memory does not depend on the member.  A line ends with ``\\
 ``\\r\\n`` or ``\\r``; bytes that are no UTF-8 become replacement characters.
 
 Two ways in: :func:`read_archive_lines` lists the archives' directories on the cluster
-as well, for archives in any number; and the data source ``archive_lines``
-(``spark.read.format("archive_lines").load(path)``, after :func:`register`) plans one
-partition a member on the driver, for a few large ones.
+as well; and the data source ``archive_lines`` (``spark.read.format("archive_lines").load(path)``,
+after :func:`register`) plans on the driver: small archives go together to partitions of
+about PARTITION_BYTES, unopened, and the members of larger ones are spread over several.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ LINES_SCHEMA = "path string, member_path string, line_no long, line string"
 _ARROW = pa.schema([("path", pa.string()), ("member_path", pa.string()), ("line_no", pa.int64()), ("line", pa.string())])
 # A batch is yielded at so many lines or characters.
 BATCH_LINES, BATCH_CHARS = 20_000, 4 << 20
+# Compressed bytes that a partition of the data source reads (a member is never split), and archives that it opens.
+PARTITION_BYTES, PARTITION_ARCHIVES = 4 << 20, 64
 
 
 def _batch(path: str, member: str, first: int, lines: list[str]) -> pa.RecordBatch:
@@ -52,6 +54,19 @@ def member_lines(path: str, zf: zipfile.ZipFile, position: int) -> Iterator[pa.R
         yield _batch(path, info.filename, first, lines)
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, small batches put together up to the bounds of one."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        if held and (rows + batch.num_rows > BATCH_LINES or size + batch.nbytes > BATCH_CHARS):
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows, size = [], 0, 0
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def read_archive_lines(spark: SparkSession, path: str, expected: Iterable[str] | None = None,
                        glob: str = "*.zip") -> DataFrame:
     """``path, member_path, line_no, line`` of the (expected) members of all archives below ``path``.
@@ -70,9 +85,24 @@ def read_archive_lines(spark: SparkSession, path: str, expected: Iterable[str] |
 
 
 @dataclass
-class MemberPartition(InputPartition):
-    path: str
-    position: int
+class MembersPartition(InputPartition):
+    """Archives, each with the positions of the members to read (None: all that are wanted)."""
+
+    archives: list[tuple[str, list[int] | None]]
+
+
+def _member_groups(path: str, members: frozenset[str] | None) -> Iterator[list[int]]:
+    """The wanted members of a large archive in groups of about PARTITION_BYTES."""
+    with _open_stream(path) as f, zipfile.ZipFile(f) as zf:
+        infos, group, held = zf.infolist(), [], 0
+        for i in _wanted(zf, members):
+            if group and held + infos[i].compress_size > PARTITION_BYTES:
+                yield group
+                group, held = [], 0
+            group.append(i)
+            held += infos[i].compress_size
+    if group:
+        yield group
 
 
 class ArchiveLinesReader(DataSourceReader):
@@ -81,24 +111,34 @@ class ArchiveLinesReader(DataSourceReader):
         names = options.get("members")
         self.members = frozenset(names.split(",")) if names else None
 
-    def partitions(self) -> list[MemberPartition]:
+    def partitions(self) -> list[MembersPartition]:
         from pyarrow import fs as pafs
         filesystem, root = pafs.FileSystem.from_uri(arrow_uri(self.path))
         info = filesystem.get_file_info(root)
         files = [info] if info.is_file else filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
         scheme = arrow_uri(self.path).split("://")[0]
-        paths = sorted(f"{scheme}://{f.path}" for f in files if f.is_file and fnmatch.fnmatch(f.base_name, self.glob))
-        out = []
-        for p in paths:
-            with _open_stream(p) as f, zipfile.ZipFile(f) as zf:
-                out += [MemberPartition(p, i) for i in _wanted(zf, self.members)]
-        return out
-
-    def read(self, partition: MemberPartition) -> Iterator[pa.RecordBatch]:
-        if partition is None:                      # an archive without members plans one empty partition
-            return
-        with _open_stream(partition.path) as f, zipfile.ZipFile(f) as zf:
-            yield from member_lines(partition.path, zf, partition.position)
+        out, small, held = [], [], 0
+        for f in sorted((f for f in files if f.is_file and fnmatch.fnmatch(f.base_name, self.glob)), key=lambda f: f.path):
+            path = f"{scheme}://{f.path}"
+            if f.size > PARTITION_BYTES:
+                out += [MembersPartition([(path, group)]) for group in _member_groups(path, self.members)]
+                continue
+            if small and (held + f.size > PARTITION_BYTES or len(small) >= PARTITION_ARCHIVES):
+                out.append(MembersPartition(small))
+                small, held = [], 0
+            small.append((path, None))
+            held += f.size
+        return [*out, MembersPartition(small)] if small else out
+
+    def read(self, partition: MembersPartition) -> Iterator[pa.RecordBatch]:
+        if partition is not None:                  # no archives: one empty partition is planned
+            yield from gathered(self._lines(partition))
+
+    def _lines(self, partition: MembersPartition) -> Iterator[pa.RecordBatch]:
+        for path, positions in partition.archives:
+            with _open_stream(path) as f, zipfile.ZipFile(f) as zf:
+                for position in _wanted(zf, self.members) if positions is None else positions:
+                    yield from member_lines(path, zf, position)
 
 
 class ArchiveLines(DataSource):

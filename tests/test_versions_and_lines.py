@@ -147,3 +147,29 @@ def test_a_large_member_is_read_in_small_batches(tmp_path):
         batches = [(b.num_rows, b.nbytes) for b in A.member_lines("big.zip", zf, 0)]
     assert sum(n for n, _ in batches) == 1_000_000 and max(n for n, _ in batches) <= A.BATCH_LINES
     assert max(size for _, size in batches) < 3 * A.BATCH_CHARS
+
+
+def test_partitions_of_the_source_follow_bytes(spark, tmp_path, monkeypatch):
+    """Small archives share a partition; a larger one's members are spread over several, each member once."""
+    want = []
+    for a in range(30):
+        with zipfile.ZipFile(tmp_path / f"small{a:02}.zip", "w") as zf:
+            for m in range(20):
+                zf.writestr(f"{m}/t.txt", f"{a} {m}\nend\n")
+                want += [(f"small{a:02}.zip", f"{m}/t.txt", 0, f"{a} {m}"), (f"small{a:02}.zip", f"{m}/t.txt", 1, "end")]
+    with zipfile.ZipFile(tmp_path / "z.zip", "w") as zf:
+        for m in range(40):
+            zf.writestr(f"{m}/t.txt", "y" * 3000)
+            zf.writestr(f"{m}/other.txt", "no")
+            want.append(("z.zip", f"{m}/t.txt", 0, "y" * 3000))
+    monkeypatch.setattr(A, "PARTITION_BYTES", 20_000)
+    reader = A.ArchiveLinesReader({"path": str(tmp_path), "members": "t.txt"})
+    parts = reader.partitions()
+    assert len(parts) < 30 and sum(a[0].endswith("/z.zip") for p in parts for a in p.archives) >= 6
+    rows = [(r["path"].rsplit("/", 1)[1], r["member_path"], r["line_no"], r["line"]) for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    assert sorted(rows) == sorted(want)
+    assert max(sum(1 for _ in reader.read(p)) for p in parts) <= 3
+    A.register(spark)
+    source = spark.read.format("archive_lines").option("members", "t.txt").load(str(tmp_path))
+    assert source.rdd.getNumPartitions() < 30
+    assert sorted((r.path.rsplit("/", 1)[1], r.member_path, r.line_no, r.line) for r in source.collect()) == sorted(want)
