@@ -22,7 +22,7 @@ from curate.llm import averaging
 from curate.llm.textbytes import ALNUM, LOWER, U64, buffer, chunks, crc32_mod, materialise, prefix_hash, span_hash, words
 
 CHUNK = 1 << 18
-#: Labelled documents, and bytes of their words, that a task holds at a time; up to so many are trained as one partition.
+#: Labelled documents, and bytes of their words, that a task holds at a time; a partition trained on has at least so many documents, if there are.
 GROUP, GROUP_BYTES = 4_096, 32 << 20
 HASHED, DIM, FILTERS, WIDTHS = 1 << 15, 12, 12, (1, 2, 3)
 EPOCHS, BATCH, RATE, SEED = 6, 32, 0.02, 11
@@ -253,15 +253,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> TextCNN:
     the largest counts.  lang only groups the calibration's thresholds.
     """
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)").withColumn("h", F.xxhash64("doc_id", F.lit(SEED)))
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")).join(known, "doc_id")
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")).join(known.hint("merge"), "doc_id")
     hashed = materialise(rows.select("h", "toxic", "lang", "text").mapInArrow(_hash_words, "h bigint, toxic int, lang string, ids binary"), "labelled")
     holds = F.pmod("h", F.lit(5)) == 0
     n = {(r.hold, r.toxic): r["count"] for r in hashed.groupBy(holds.alias("hold"), "toxic").count().collect()}
     model = TextCNN()
     if all(n.get((hold, y)) for hold in (False, True) for y in (0, 1)):
-        data = hashed.filter(~holds)
-        if n[False, 0] + n[False, 1] <= GROUP:
-            data = data.coalesce(1)
+        data = averaging.dealt(hashed.filter(~holds), n[False, 0] + n[False, 1], GROUP)
         seen = np.zeros((2, HASHED + 1))
         found = data.mapInArrow(_presence, "toxic int, word int, n bigint").groupBy("toxic", "word").agg(F.sum("n").alias("n")).toArrow()
         seen[np.asarray(found.column("toxic")), np.asarray(found.column("word"))] = np.asarray(found.column("n"))

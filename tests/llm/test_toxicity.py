@@ -57,3 +57,11 @@ def test_average_over_partitions(spark):
     got = averaging.train(data, {"a": np.zeros((300, 2), np.float32), "step": np.zeros(1)}, 2, learn)
     assert np.allclose(got["a"][:4], .75) and not got["a"][4:].any() and got["step"][0] == 2
     assert averaging.train(data.limit(0), {"a": np.ones((3, 2))}, 1, learn)["a"].all()
+
+
+def test_copies_follow_the_rows_not_the_files(spark):
+    """A copy's changes are sent whatever its rows, so partitions of few rows are trained as one."""
+    data, cores = spark.range(0, 100_000, 1, 60), spark.sparkContext.defaultParallelism
+    copies = lambda rows: averaging.dealt(data, rows, 4096).rdd.getNumPartitions()
+    assert copies(100_000) == max(cores, 100_000 // averaging.ROWS) and copies(4000) == copies(0) == 1
+    assert copies(50 * averaging.ROWS) == 50 and averaging.dealt(data, 100_000, 4096).count() == 100_000
