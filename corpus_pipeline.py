@@ -69,7 +69,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = jaccard.components(rows, size=5, threshold=(80, 100), id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
     kept = (rows.select("_row", "doc_id").join(groups, "_row").groupBy("component_id")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))["_row"].alias("_row")))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    # few rows go, and where their numbers fit in a broadcast the texts stay where they are
+    gone = materialise(groups.select("_row").join(kept, "_row", "left_anti"), "gone")
+    return rows.join(F.broadcast(gone) if gone.count() <= jaccard.BROADCAST_IDS else gone, "_row", "left_anti").select(*docs.columns)
 
 
 @own_columns

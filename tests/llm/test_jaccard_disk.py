@@ -3,7 +3,9 @@
 import numpy as np
 import pyarrow as pa
 
+import corpus_pipeline
 from curate.llm import jaccard
+from curate.llm.textbytes import setting
 
 
 def sketch(texts):
@@ -80,3 +82,18 @@ def test_a_family_is_compared_by_blocks(spark):
     batch = pa.RecordBatch.from_pydict(dict(zip(("lead", "block", "role", "entity", "keys", "among"), map(list, zip(*rows)))))
     found = {(min(r["a"], r["b"]), max(r["a"], r["b"])) for out in seen([batch], 80, 100) for r in out.to_pylist()}
     assert found == want and passed[0] <= 3 * len(ids) < len(pairs)
+
+
+def test_near_dedup_leaves_the_texts_where_they_are(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = [text(rng, 60) for _ in range(12)]
+    rows = [(k, " ".join(own), "en", "a", 1) for k, own in enumerate(base)]
+    rows += [(100 + k, " ".join(own[:57] + ["other"]), "en", "a", 1) for k, own in enumerate(base[:5])] + [(None, " ".join(base[0]), "en", "a", 1), (3, "an odd one", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars int").repartition(3)
+    for few in (jaccard.BROADCAST_IDS, 0):
+        monkeypatch.setattr(jaccard, "BROADCAST_IDS", few)
+        with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            out = corpus_pipeline.near_dedup(spark, docs, "")
+            plan = out._jdf.queryExecution().sparkPlan().toString()
+            assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted([(r[0], r[1]) for r in rows[:12]] + [(3, "an odd one")])
+        assert ("BroadcastHashJoin" in plan, "SortMergeJoin" in plan) == (few > 0, few == 0)
